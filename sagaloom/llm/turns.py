@@ -75,15 +75,23 @@ def speaker_labels(labels: DataFrame, column: str, registry: DataFrame) -> DataF
     return exact.unionByName(near_id).unionByName(voices)
 
 
-def label_pattern(registry: DataFrame) -> str:
-    """Regular expression for a speaker's name set as a label in a text. The registry is checked to be small."""
+def text_labels(registry: DataFrame) -> tuple[str, dict[str, str]]:
+    """Regular expression for a speaker's name set as a label in a text, and the player of every name. The registry is checked to be small."""
     rows = known_names(registry).limit(MAX_NAMES + 1).collect()
     if len(rows) > MAX_NAMES:
         raise ValueError(f"more than {MAX_NAMES} spellings: not a registry of the people at a table")
     names = sorted({r.spelled.strip() for r in rows}, key=lambda s: (-len(s), s))
     names = "|".join(re.sub(r"\\?\s+", r"\\s+", re.escape(n)) for n in names) or r"(?!)"
     who = rf"(?:{names}|SPEAKER[ _]?\d+)"
-    return rf"(?iu)(?:(?<![\p{{L}}\p{{N}}])(?:>>\s*|-\s+|/\s+)?({who})(?:\s*\([^()]*\))?\s*:(?=\s|$)|<\s*({who})\s*>)"
+    pattern = rf"(?iu)(?:(?<![\p{{L}}\p{{N}}])(?:>>\s*|-\s+|/\s+)?({who})(?:\s*\([^()]*\))?\s*:(?=\s|$)|<\s*({who})\s*>)"
+    return pattern, {r.name_key: r.player_id for r in rows}
+
+
+def has_words(text: Column) -> Column:
+    """Whether anything is said apart from hesitations, timestamps and marked noise. Most texts show it at a glance."""
+    plain = ~text.rlike(r"[\[({*<♪]") & text.rlike(r"(?iu)[b-dfgi-ln-tv-zß]")
+    rest = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, TIMESTAMP, " "), ANNOTATION, " "), HESITATION, " ")
+    return F.when(plain, True).otherwise(rest.rlike(r"[\p{L}\p{N}]"))
 
 
 def bare(text: Column) -> Column:
@@ -96,47 +104,43 @@ def bare(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(t, r"(?U)\s+", " "), r"^[ /\-,.;…>]+|[ /\->]+$", "")
 
 
-def pieces(segments: DataFrame, registry: DataFrame) -> DataFrame:
-    """session_id, start_s, end_s, segment_id, piece_no, label, said: deliveries counted once, split at labels, wordless ones gone."""
-    placed = segments.filter(F.col("session_id").isNotNull() & F.col("start_s").isNotNull() & ~F.isnan("start_s"))
-    words = F.regexp_replace(F.coalesce("text", F.lit("")), r"(?U)\s+", "")
-    row = F.struct("segment_id", "speaker", "text", "end_s", "seq")
-    once = (
-        placed.filter(F.length(words) > 0).groupBy("session_id", "start_s", F.xxhash64(words).alias("h"), F.length(words).alias("n"))
-        .agg(F.min_by(row, "segment_id").alias("r")).select("session_id", "start_s", "r.*")
-    )
+def pieces(segments: DataFrame, registry: DataFrame, *kept: str) -> DataFrame:
+    """session_id, block, start_s, segment_id, piece_no, known: the speech of every segment, split at labels, once per delivery.
+
+    ``known`` is the speaker a piece names itself; ``kept`` may add end_s and said (the cleaned words). Everything that
+    reads text happens before the only shuffle, which brings a block of time of one session together.
+    """
+    pattern, people = text_labels(registry)
+    labels = speaker_labels(segments.select("speaker").distinct(), "speaker", registry).withColumnRenamed("label", "speaker")
+    placed = segments.filter(F.col("session_id").isNotNull() & F.col("start_s").isNotNull() & ~F.isnan("start_s") & F.col("text").rlike(r"\S"))
     mark, sep = "\u0001", "\u0002"
-    split = F.split(F.regexp_replace(F.regexp_replace("text", "[\u0001\u0002]", " "), label_pattern(registry), f"{mark}$1$2{sep}"), mark)
-    parts = once.select("session_id", "start_s", "end_s", "segment_id", "speaker", F.posexplode(split).alias("piece_no", "part"))
+    text = F.translate("text", mark + sep, "  ")
+    split = F.when(text.contains(":") | text.contains(">"), F.regexp_replace(text, pattern, f"{mark}$1$2{sep}")).otherwise(text)
+    words = F.regexp_replace("text", r"(?U)\s+", "")
+    parts = placed.select(
+        "session_id", "start_s", "end_s", "segment_id", "speaker", F.xxhash64(words, F.length(words)).alias("h"), F.posexplode(F.split(split, mark)).alias("piece_no", "part")
+    )
     own = F.split("part", sep)
     labelled = F.col("piece_no") > 0
-    out = parts.select(
-        "session_id", "start_s", "end_s", "segment_id", "piece_no",
-        F.when(labelled, own[0]).otherwise(F.col("speaker")).alias("label"),
-        bare(F.when(labelled, own[1]).otherwise(F.col("part"))).alias("said"),
+    parts = parts.select("*", F.when(labelled, own[0]).alias("label"), F.when(labelled, own[1]).otherwise(F.col("part")).alias("words")).filter(has_words(F.col("words")))
+    voice = F.regexp_extract(F.lower("label"), r"^\s*speaker[\s_\-]*(\d+)\s*$", 1)
+    pairs = [F.lit(x) for pair in people.items() for x in pair] or [F.lit(""), F.lit("")]
+    in_text = F.coalesce(F.element_at(F.create_map(*pairs), base(F.col("label"))), F.when(voice != "", F.concat(F.lit("SPEAKER_"), F.lpad(voice, F.greatest(F.lit(2), F.length(voice)), F.lit("0")))))
+    said = bare(F.col("words"))
+    named = parts.join(labels, "speaker", "left").select(
+        "session_id", F.floor(F.col("start_s") / BLOCK_SECONDS).alias("block"), "start_s", "h", "piece_no", "segment_id",
+        F.when(labelled, in_text).otherwise(F.col("speaker_id")).alias("known"), *[{"end_s": F.col("end_s"), "said": said.alias("said")}[k] for k in kept],
     )
-    return out.filter(F.col("said").rlike(r"[\p{L}\p{N}]"))
+    once = named.repartition("session_id", "block").groupBy("session_id", "block", "start_s", "h", "piece_no").agg(F.min(F.struct("segment_id", "known", *kept)).alias("r"))
+    return once.select("session_id", "block", "start_s", "piece_no", "r.*")
 
 
-def speech(segments: DataFrame, registry: DataFrame) -> DataFrame:
+def speech(segments: DataFrame, registry: DataFrame, *kept: str) -> DataFrame:
     """``pieces`` with speaker_id and turn_no: forward-filled over time, counted up at every change of speaker."""
-    said = pieces(segments, registry)
-    labels = speaker_labels(
-        segments.select("speaker").distinct().unionByName(known_names(registry).select(F.col("spelled").alias("speaker"))), "speaker", registry
-    )
-    # labels cut out of a text are known names or voices, in any case
-    text_labels = known_names(registry).select("name_key", F.col("player_id").alias("name_id"))
-    voice = F.regexp_extract(F.lower("label"), r"^\s*speaker[\s_\-]*(\d+)\s*$", 1)
-    voice_id = F.when(voice != "", F.concat(F.lit("SPEAKER_"), F.lpad(voice, F.greatest(F.lit(2), F.length(voice)), F.lit("0"))))
-    named = (
-        said.join(labels, "label", "left")
-        .withColumn("name_key", base(F.col("label"))).join(text_labels, "name_key", "left")
-        .withColumn("known", F.coalesce("speaker_id", "name_id", voice_id)).drop("speaker_id", "name_id", "name_key", "label")
-    )
-    block = F.floor(F.col("start_s") / BLOCK_SECONDS)
+    named = pieces(segments, registry, *kept)
     order = ["start_s", "segment_id", "piece_no"]
     inside = Window.partitionBy("session_id", "block").orderBy(*order)
-    filled_in = named.withColumn("block", block).withColumn("here", F.last("known", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    filled_in = named.withColumn("here", F.last("known", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     flagged = filled_in.withColumn("change", (F.col("here").isNotNull() & ~F.lag("here").over(inside).eqNullSafe(F.col("here"))).cast("int"))
     counted = flagged.withColumn("inner_no", F.sum("change").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     # one row per block: its first and last speaker and its number of changes
@@ -152,7 +156,7 @@ def speech(segments: DataFrame, registry: DataFrame) -> DataFrame:
     carried = carried.withColumn("base", F.coalesce(F.sum(F.col("changes") - F.col("goes_on")).over(before), F.lit(0)) - F.col("goes_on"))
     joined = counted.join(carried.select("session_id", "block", "before", "base", "goes_on"), ["session_id", "block"])
     return joined.select(
-        "session_id", *order, "end_s", "said", F.coalesce("here", "before").alias("speaker_id"),
+        "session_id", *order, *kept, F.coalesce("here", "before").alias("speaker_id"),
         (F.col("base") + F.when(F.col("here").isNull(), F.col("goes_on")).otherwise(F.col("inner_no"))).alias("turn_no"),
     ).filter(F.col("speaker_id").isNotNull())
 
@@ -170,7 +174,7 @@ def turns(segments: DataFrame, registry: DataFrame) -> DataFrame:
 
     A session whose segments lie more than ``MILLISECONDS_FROM`` apart on average counts in milliseconds.
     """
-    said = speech(segments, registry)
+    said = speech(segments, registry, "end_s", "said")
     place = F.struct("start_s", "segment_id", "piece_no")
     line = F.struct("start_s", "segment_id", "piece_no", "said")
     usable = F.when((F.col("end_s") > F.col("start_s")) & ~F.isnan("end_s"), F.col("end_s"))

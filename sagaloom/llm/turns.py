@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from sagaloom.functions.names import filled, fold
 from sagaloom.llm.spelling import deletions, letters
+from sagaloom.session import cut
 
+MAX_BROADCAST = 50_000  # distinct labels up to which they are sent to every executor (about 3 MB)
 MAX_NAMES = 5000  # bound on the spellings of the people at the table; more are no registry of speakers
 BLOCK_SECONDS = 900  # width of a window block
 MILLISECONDS_FROM = 100.0  # mean seconds between segments above which a session's clock counts milliseconds
@@ -112,6 +114,9 @@ def pieces(segments: DataFrame, registry: DataFrame, *kept: str) -> DataFrame:
     """
     pattern, people = text_labels(registry)
     labels = speaker_labels(segments.select("speaker").distinct(), "speaker", registry).withColumnRenamed("label", "speaker")
+    labels = cut(labels)
+    if labels.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
+        labels = F.broadcast(labels)  # else a shuffle join, hot labels split by the adaptive skew join
     placed = segments.filter(F.col("session_id").isNotNull() & F.col("start_s").isNotNull() & ~F.isnan("start_s") & F.col("text").rlike(r"\S"))
     mark, sep = "\u0001", "\u0002"
     text = F.translate("text", mark + sep, "  ")
@@ -131,6 +136,7 @@ def pieces(segments: DataFrame, registry: DataFrame, *kept: str) -> DataFrame:
         "session_id", F.floor(F.col("start_s") / BLOCK_SECONDS).alias("block"), "start_s", "h", "piece_no", "segment_id",
         F.when(labelled, in_text).otherwise(F.col("speaker_id")).alias("known"), *[{"end_s": F.col("end_s"), "said": said.alias("said")}[k] for k in kept],
     )
+    named = named.filter("session_id is not null and block is not null")  # as the later join infers on one side only: lets both sides share the shuffle
     once = named.repartition("session_id", "block").groupBy("session_id", "block", "start_s", "h", "piece_no").agg(F.min(F.struct("segment_id", "known", *kept)).alias("r"))
     return once.select("session_id", "block", "start_s", "piece_no", "r.*")
 

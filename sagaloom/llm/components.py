@@ -3,9 +3,10 @@
 Every partition of the edge list runs union-find and keeps only its spanning forest (each node with the smallest node
 of its tree), so partitions shrink to at most one row per node. Forests are then merged hierarchically, ``FAN_IN``
 partitions into one, as long as a merged partition stays within ``MAX_EDGES`` rows. If all that is left fits one such
-partition, its forest is the answer. If not, the forests are merged in bounded partitions by node and by root in turn
-until no node has two roots and no root has another root; each pass joins all trees that meet at a node, and no
-partition ever holds more than its share. A hub with a third of all edges is one row per partition after the first pass.
+partition, its forest is the answer. If not, ``joined`` links the roots of a node with each other and takes every root
+on to its own root, pass by pass, until no node has two roots and no root has another root. These passes are plain
+aggregations and joins, which spill, so no task holds a forest in memory; a chain takes about log2 of its length. The
+rows of one root are a skewed join key, which adaptive execution splits.
 
 Defined edge results: null ids and self links link nothing; repeated and reversed pairs count once; ids are compared by
 character code; empty tables give an empty result.
@@ -64,6 +65,17 @@ def forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["a", "b"])
 
 
+def joined(trees: DataFrame) -> DataFrame:
+    """One pass over rows (a, b), b < a: a node keeps its smallest b, its other ones are linked with that, and every b gives way to its own smallest.
+
+    The rows hold the same components before and after, and each pass that changes any lowers their ids, so passes end.
+    """
+    low = cut(trees.groupBy("a").agg(F.min("b").alias("low")))
+    linked = trees.join(low, "a").select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
+    up = low.select(F.col("a").alias("b"), F.col("low").alias("up"))
+    return linked.join(up, "b", "left").select("a", F.coalesce("up", "b").alias("b")).distinct()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_edges: int = MAX_EDGES) -> DataFrame:
     """node, group_key: every linked node and the smallest node of its component."""
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null and a != b")
@@ -79,10 +91,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_edges: int = MA
             rows = trees.count()
             if parts == ceil(rows / max_edges):
                 break
-    for i in range(MAX_PASSES):
+    for _ in range(MAX_PASSES):
         if parts == 1:
             break
-        trees = cut(trees.repartition(parts, "a" if i % 2 == 0 else "b").mapInPandas(forest, "a string, b string").distinct())
+        trees = cut(joined(trees))
         split = trees.groupBy("a").agg(F.countDistinct("b").alias("n")).filter("n > 1")
         nested = trees.select("b").distinct().join(trees.select(F.col("a").alias("b")), "b", "left_semi")
         if split.isEmpty() and nested.isEmpty():

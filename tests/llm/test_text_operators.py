@@ -118,6 +118,33 @@ def test_components_equal_brute_force(spark, bound):
     assert components.components(spark.createDataFrame([], "a string, b string")).isEmpty()
 
 
+def test_components_beyond_one_partition(spark):
+    """Chains, a hub and random links that never fit one partition, without coalescing: every node reaches its smallest one."""
+    rng = random.Random(9)
+    names = [f"n{i:04d}" for i in range(300)]
+    mixed = rng.sample(names, 300)
+    pairs = list(zip(names[:100], names[1:101], strict=True)) + list(zip(mixed[:150], mixed[1:151], strict=True)) + [("hub", f"h{i}") for i in range(80)] + [("n0000", "x0"), ("x0", "x1")]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        i, j = sorted((root(a), root(b)))
+        parent[j] = i
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        rows = components.components(spark.createDataFrame(pairs, "a string, b string"), max_edges=30).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(rows) == len(parent)
+    assert {r.node: r.group_key for r in rows} == {x: root(x) for x in parent}
+
+
 def test_survivors_with_currency(spark):
     t = lambda d: datetime(2024, 1, d)
     record = "concept_id string, title string, subtype string, description string, home string, resource_url string, quality string, mention_count int, updated_at timestamp_ntz"

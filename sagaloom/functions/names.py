@@ -37,6 +37,21 @@ def media_seconds(c: Column) -> Column:
     )
 
 
+def cited_seconds(c: Column) -> Column:
+    """Seconds of two or three whole numbers between colons, of any size and sign, as the reference reads a citation; null for anything else."""
+    number = r"\s*[+-]?\d{1,9}\s*"
+    parts = F.split(c, ":")
+    of = lambda i: F.try_element_at(parts, F.lit(i)).try_cast("long")
+    tail = of(-2) * 60 + of(-1)
+    return F.when(c.rlike(rf"(?U)^{number}:{number}$"), tail).when(c.rlike(rf"(?U)^{number}:{number}:{number}$"), of(1) * 3600 + tail)
+
+
+def long_words(c: Column, least: int = 4) -> Column:
+    """The different words (letters, digits, underscores) of at least so many signs, in lower case and sorted."""
+    words = F.filter(F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)), lambda w: F.length(w) >= least)
+    return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.lower(w))))
+
+
 def clock(c: Column) -> Column:
     """``HH:MM:SS`` of a number of seconds, fractions cut off; negative and null give null."""
     s = F.floor(c)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sagaloom.functions.names import cited_seconds, long_words
+
 
 def unique_or_null(rows: DataFrame, key: list[str], value: str) -> DataFrame:
     """One row per key: its value if there is exactly one, null if the key is ambiguous."""
@@ -32,6 +34,37 @@ def within(points: DataFrame, spans: DataFrame, key: list[str], at: str, center:
     return left.join(right, [*key, "__b"]).filter(F.abs(F.col(at) - F.col(center)) <= reach).drop("__b")
 
 
+def grounding(mentions: DataFrame, segments: DataFrame, reach: float = 120.0) -> DataFrame:
+    """session_id, type_name ('all' and each type), near, elsewhere, nowhere, unscorable, near_ratio of the mentions.
+
+    A word of four signs or more of the name is looked for as part of the text within ``reach`` seconds of the citation,
+    then in the whole session; a name without such a word, or a citation that is no time, cannot be scored. A part of a
+    text that has only word signs lies inside one of its words, so the session's different words stand for its text;
+    they are joined on four signs. Every row counts, repeated ones too; a null type is ''.
+    """
+    key = ["session_id", "tokens", "sec"]
+    m = mentions.select("session_id", F.coalesce("entity_type", F.lit("")).alias("type_name"), long_words(F.col("mention_name")).alias("tokens"), cited_seconds(F.col("citation_ts")).cast("double").alias("sec"))
+    asked = m.filter("size(tokens) > 0 and sec is not null").select(*key).distinct()
+    text = segments.filter("text is not null").select("session_id", "start_s", F.lower("text").alias("said"))
+    near = within(text, asked, ["session_id"], "start_s", "sec", reach).filter(F.exists("tokens", lambda t: F.contains("said", t))).select(*key).distinct()
+    words = segments.select("session_id", F.explode(long_words(F.col("text"))).alias("word")).distinct()
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length("word") - 3, F.lit(1))), lambda i: F.substring("word", i, F.lit(4)))
+    parts = words.select("session_id", "word", F.explode(F.array_distinct(grams)).alias("gram"))
+    each = asked.select(*key, F.explode("tokens").alias("tok"))
+    wanted = each.select("session_id", "tok", F.substring("tok", 1, 4).alias("gram")).distinct()
+    # four signs have few different values, so those of all names go to every task and the other parts are not shuffled
+    parts = parts.join(F.broadcast(wanted.select("gram").distinct()), "gram", "left_semi")
+    spoken = wanted.join(parts, ["session_id", "gram"]).filter(F.contains("word", F.col("tok"))).select("session_id", "tok").distinct()
+    anywhere = each.join(spoken, ["session_id", "tok"], "left_semi").select(*key).distinct()
+    found = near.withColumn("__near", F.lit(1)).unionByName(anywhere.withColumn("__near", F.lit(0))).groupBy(*key).agg(F.max("__near").alias("__near"))
+    scorable = (F.coalesce(F.size("tokens"), F.lit(0)) > 0) & F.col("sec").isNotNull()
+    kind = F.when(~scorable, "unscorable").when(F.col("__near") == 1, "near").when(F.col("__near") == 0, "elsewhere").otherwise("nowhere")
+    rows = m.join(found, key, "left").select("session_id", F.explode(F.array("type_name", F.lit("all"))).alias("type_name"), kind.alias("kind"))
+    counts = rows.groupBy("session_id", "type_name").agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in ("near", "elsewhere", "nowhere", "unscorable")])
+    scored = F.col("near") + F.col("elsewhere") + F.col("nowhere")
+    return counts.withColumn("near_ratio", F.when(scored > 0, F.round(F.col("near") / scored, 6)).otherwise(0.0))
+
+
 def strict_subsets(rows: DataFrame, group: str, identity: str, tokens: str) -> DataFrame:
     """small, large: pairs of a group whose token set is a strict subset, joined on the subset's rarest token."""
     long = rows.select(group, identity, tokens, F.explode(F.array_distinct(tokens)).alias("t"))

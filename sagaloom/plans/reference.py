@@ -85,13 +85,24 @@ def mention_index_ambiguous(spark, folder):  # D4
 
 @query("""WITH m AS (SELECT *, CASE WHEN regexp_full_match(citation_ts, '\\d{2}:\\d{2}:\\d{2}') THEN split_part(citation_ts,':',1)::INT*3600+split_part(citation_ts,':',2)::INT*60+split_part(citation_ts,':',3)::INT END AS sec FROM mentions)
 SELECT m.mention_id, count(*) AS n_near, count(*) FILTER (contains(s.text, m.mention_name)) AS n_naming FROM m JOIN segments s ON s.session_id = m.session_id AND abs(s.start_s - m.sec) <= 120 GROUP BY 1""")
-def grounding_window(spark, folder):  # D12 E8
+def grounding_window(spark, folder):  # D12 of citations written HH:MM:SS, as its SQL has it; all of them: grounding_counts
     m = table(spark, folder, "mentions", "mention_id", "session_id", "mention_name", "citation_ts").filter(F.col("citation_ts").rlike(r"^\d{2}:\d{2}:\d{2}$"))
     m = m.withColumn("sec", media_seconds(F.col("citation_ts")).cast("double")).drop("citation_ts").filter("sec is not null")
     s = table(spark, folder, "segments", "session_id", "start_s", "text")
     return linking.within(s, m, ["session_id"], "start_s", "sec", 120.0).groupBy("mention_id").agg(F.count("*").alias("n_near"), F.count(F.when(F.contains("text", F.col("mention_name")), 1)).alias("n_naming"))
 
 
+@query("""WITH p AS (SELECT *, list_transform(string_split(citation_ts, ':'), lambda x: CASE WHEN regexp_full_match(x, '\\s*[+-]?[0-9]{1,9}\\s*') THEN trim(x)::BIGINT END) AS n FROM mentions),
+ m AS (SELECT row_number() OVER () AS i, session_id, coalesce(entity_type, '') AS t, list_transform(list_filter(regexp_extract_all(coalesce(mention_name, ''), '[\\p{L}\\p{N}_]+'), lambda x: length(x) >= 4), lambda x: lower(x)) AS tok,
+  CASE len(n) WHEN 2 THEN n[1] * 60 + n[2] WHEN 3 THEN n[1] * 3600 + n[2] * 60 + n[3] END AS sec FROM p),
+ hit AS (SELECT m.i, coalesce(bool_or(abs(s.start_s - m.sec) <= 120), false) AS near FROM m JOIN segments s ON s.session_id = m.session_id WHERE len(list_filter(m.tok, lambda x: contains(lower(s.text), x))) > 0 GROUP BY 1),
+ k AS (SELECT session_id, unnest(['all', t]) AS type_name, CASE WHEN len(tok) = 0 OR sec IS NULL THEN 'unscorable' WHEN hit.near THEN 'near' WHEN hit.i IS NOT NULL THEN 'elsewhere' ELSE 'nowhere' END AS kind FROM m LEFT JOIN hit USING (i)),
+ c AS (SELECT session_id, type_name, count(*) FILTER (kind = 'near') AS near, count(*) FILTER (kind = 'elsewhere') AS elsewhere, count(*) FILTER (kind = 'nowhere') AS nowhere, count(*) FILTER (kind = 'unscorable') AS unscorable FROM k GROUP BY 1, 2)
+SELECT *, CASE WHEN near + elsewhere + nowhere > 0 THEN round(near / (near + elsewhere + nowhere), 6) ELSE 0.0::DOUBLE END AS near_ratio FROM c""")
+def grounding_counts(spark, folder):  # D12 E8
+    return linking.grounding(table(spark, folder, "mentions", "session_id", "mention_name", "entity_type", "citation_ts"), table(spark, folder, "segments", "session_id", "start_s", "text"))
+
+
 @query("""WITH w AS (SELECT session_id, greatest(start_s - 2, 0) AS lo, start_s + 6 AS hi FROM segments WHERE contains(text, 'Schwierigkeit')),
  m AS (SELECT *, max(hi) OVER (PARTITION BY session_id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM w),
  i AS (SELECT *, sum(CASE WHEN lo <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY session_id ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS g FROM m)

@@ -130,6 +130,15 @@ def test_interval_join_equals_brute_force(spark):
     assert sorted((r.id, r["at"]) for r in got.collect()) == sorted((i, float(x)) for x in range(0, 100, 3) for c, i in ((10.0, 1), (97.5, 2)) if abs(x - c) <= 7)
 
 
+def test_grounding_counts_every_citation(spark):
+    said = spark.createDataFrame([("s", 700.0, "Lindos ruft"), ("s", 720.0, None), ("s", 5000.0, "Der ROTUNAS kommt"), ("t", 0.0, "Quindel")], "session_id string, start_s double, text string")
+    rows = [("Lindo Graf", "NPC", "12:07"), ("Lindo Graf", "NPC", "12:07"), ("lindos", "NPC", "00:12:07"), ("Rotunas", "NPC", "12:07"), ("Quindel", "Item", "12:07"), ("Ox", "Item", "12:07"), ("Lindos", None, "bald"), ("Lindos", None, None), (None, "Item", "12:07"), ("Lindos", "NPC", "0:700")]
+    m = spark.createDataFrame([("s", *r) for r in rows], "session_id string, mention_name string, entity_type string, citation_ts string")
+    got = {r.type_name: tuple(r)[2:] for r in linking.grounding(m, said).collect()}
+    assert got == {"NPC": (4, 1, 0, 0, 0.8), "Item": (0, 0, 1, 2, 0.0), "": (0, 0, 0, 2, 0.0), "all": (4, 1, 1, 4, 0.666667)}
+    assert linking.grounding(m.limit(0), said).isEmpty()
+
+
 def test_subset_pairs(spark):
     t = spark.createDataFrame([("n", "1", ["a", "b"]), ("n", "2", ["a", "b", "c"]), ("n", "3", ["b"]), ("m", "4", ["b"]), ("n", "5", ["a", "b"])], "g string, id string, tok array<string>")
     assert sorted((r.small, r.large) for r in linking.strict_subsets(t, "g", "id", "tok").collect()) == [("1", "2"), ("3", "1"), ("3", "2"), ("3", "5"), ("5", "2")]

@@ -9,7 +9,10 @@ the rounds go on until nothing merges. A spelling that fits several profiles equ
 
 Blocks: key lookups are aggregated per key before the join, so a key of many profiles costs one row. The edit search
 joins on tokens with at most one deletion; a token of more than ``HOT_TOKEN`` profiles is no key, and names that
-hold one are found through their other tokens with up to two deletions, so two edits in one token are still found. Mentions are reduced to distinct spellings before anything is compared; nothing is collected.
+hold one are found through their other tokens with up to two deletions. Profile forms with fewer than two tokens that
+block (all hot or short, or one word) are also found whole, with deletions up to the accepted bound, so every pair
+within it meets; of the typed names only those are expanded that have a half in common with such a form, up to one
+deletion. Mentions are reduced to distinct spellings before anything is compared; nothing is collected.
 
 Defined edge results: null, empty and letterless names mean nobody; a name equal to a known one character by character
 needs no link; null types are compatible with every type, Character and NPC are one type; repeated rows each get their
@@ -18,6 +21,8 @@ link; profiles without usable names and empty tables link nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +30,7 @@ from pyspark.sql import types as T
 
 from sagaloom.functions.names import filled
 from sagaloom.llm.spelling import deletions, letters
-from sagaloom.session import cut
+from sagaloom.session import cut, shuffle_partitions
 
 HOT_TOKEN = 100  # profiles from which on a token alone no longer blocks
 MAX_ROUNDS = 30  # a guard against endless rounds; the loop ends when nothing merges
@@ -234,12 +239,81 @@ def _blocks(forms: DataFrame, hot: DataFrame, keep: list[str]) -> DataFrame:
     return once.unionByName(twice).unionByName(glued.select(*keep, F.explode(deletions(F.col("form"))).alias("block"))).distinct()
 
 
+def _uncovered(forms: DataFrame, hot: DataFrame) -> DataFrame:
+    """ref_id, cls, weight, form of the forms of which at most one token blocks, so that all edits may lie in it."""
+    keep = ["ref_id", "cls", "weight", "form"]
+    tokens = forms.select(*keep, F.explode(F.array_distinct("t")).alias("token")).filter(F.length("token") >= 4)
+    cool = tokens.join(hot, "token", "left_anti").groupBy(*keep).agg(F.count("*").alias("n")).filter("n > 1")
+    return forms.select(*keep).distinct().join(cool, keep, "left_anti")
+
+
+def _bound(length: Column) -> Column:
+    """Accepted edits between two forms whose shorter one has this many letters."""
+    return F.when(length >= 16, 3).when(length >= 9, 2).otherwise(1)
+
+
+def within_deletions(text: str, most: int) -> set[str]:
+    """The text and every form with up to ``most`` characters left out: two texts within that many edits (or swaps) share one."""
+    found = level = {text}
+    for _ in range(most):
+        level = {w[:i] + w[i + 1 :] for w in level for i in range(len(w))}
+        found = found | level
+    return found
+
+
+def halves(text: str) -> set[str]:
+    """Both halves, also without the letters at the cut, up to one deletion: of three edits one side has one at most, and a swap over the cut leaves two."""
+    h = len(text) // 2
+    return set().union(*(within_deletions(x, 1) for x in (text[:h], text[h:], text[: max(h - 1, 0)], text[h + 1 :])))
+
+
+def beginnings_and_ends(text: str) -> set[str]:
+    """What lies within one deletion of any half of a text within three edits of this one."""
+    n = len(text)
+    sizes = range(max(0, n // 2 - 4), min(n, n // 2 + 3) + 1)
+    return set().union(*(within_deletions(x, 1) for i in sizes for x in (text[:i], text[n - i :])))
+
+
+def _exploded(rows: DataFrame, forms: Callable[[str, int], set[str]]) -> DataFrame:
+    """form, block: the ``forms`` of every row (form, depth), as hashes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out: list[tuple[str, str]] = []
+            for form, depth in zip(pdf["form"], pdf["depth"], strict=True):
+                out += [(form, x) for x in forms(form, depth)]
+                if len(out) > 50_000:
+                    yield pd.DataFrame(out, columns=["form", "part"])
+                    out = []
+            yield pd.DataFrame(out, columns=["form", "part"])
+
+    return rows.select("form", "depth").mapInPandas(run, "form string, part string").select("form", F.xxhash64("part").alias("block"))
+
+
+def whole_pairs(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """m_form, form: all pairs within the accepted bound (and others that share a deletion), whatever their tokens."""
+    size = F.length("form")
+    parts = shuffle_partitions(mine.sparkSession)
+    known = cut(theirs.select("form").distinct().repartition(parts, "form").withColumn("depth", _bound(size)))
+    # a typed form needs as many deletions as the profile form of a near length that allows most
+    both = F.least("n", "m")
+    near = known.select(size.alias("n")).distinct().withColumn("m", F.explode(F.sequence(F.col("n") - 3, F.col("n") + 3)))
+    depths = near.filter(F.abs(F.col("n") - F.col("m")) <= _bound(both)).groupBy("m").agg(F.max(_bound(both)).alias("depth"))
+    typed = cut(mine.select("form").distinct().withColumn("m", size).join(F.broadcast(depths), "m").select("form", "depth").repartition(parts, "form"))
+    sides = _exploded(known, lambda form, _: halves(form)).select("block").distinct()
+    alike = _exploded(typed, lambda form, _: beginnings_and_ends(form)).join(sides, "block", "left_semi").select("form").distinct()
+    left = _exploded(cut(typed.join(alike, "form", "left_semi").repartition(parts, "form")), within_deletions).withColumnRenamed("form", "m_form")
+    return left.join(_exploded(known, within_deletions), "block").filter(F.levenshtein("m_form", "form", 6) >= 0).select("m_form", "form").distinct()
+
+
 def by_edits(open_names: DataFrame, spelled: DataFrame, fresh: DataFrame) -> DataFrame:
     """spelled, cls, ref_id of the open names within three edits (two in names under 16 letters, one under nine) of one profile's ``fresh`` form."""
-    profile_forms = _forms_of_profiles(fresh)
+    # cut where frames are used several times: the plan of all rounds in one would be too large for the driver
+    profile_forms = cut(_forms_of_profiles(fresh))
     words = spelled.select("ref_id", F.explode(F.array_distinct(_tokens(F.col("spelled")))).alias("token")).distinct()
-    hot = words.groupBy("token").count().filter(F.col("count") > HOT_TOKEN).select("token")
-    mine = _blocks(_forms_of_mentions(open_names), hot, ["spelled", "cls", "weight", "form"]).withColumnsRenamed(
+    hot = cut(words.groupBy("token").count().filter(F.col("count") > HOT_TOKEN).select("token"))
+    typed_forms = cut(_forms_of_mentions(open_names))
+    mine = _blocks(typed_forms, hot, ["spelled", "cls", "weight", "form"]).withColumnsRenamed(
         {"cls": "m_cls", "weight": "m_weight", "form": "m_form"}
     )
     theirs = _blocks(profile_forms, hot, ["ref_id", "cls", "weight", "form"])
@@ -250,11 +324,12 @@ def by_edits(open_names: DataFrame, spelled: DataFrame, fresh: DataFrame) -> Dat
         .filter(F.levenshtein("m_form", "form", 6) >= 0)
         .select("spelled", "m_cls", "m_weight", "m_form", "ref_id", "weight", "form").distinct()
     )
-    shorter = F.least(F.length("m_form"), F.length("form"))
-    close = pairs.withColumn("e", edits("m_form", "form")).filter(
-        F.col("e") <= F.when(shorter >= 16, 3).when(shorter >= 9, 2).otherwise(1)
-    )
-    per_ref = close.groupBy("spelled", "m_cls", "ref_id").agg(F.min(F.struct("e", (F.col("weight") + F.col("m_weight")).alias("w"))).alias("s"))
+    bare = cut(_uncovered(profile_forms, hot))
+    left = typed_forms.select("spelled", F.col("cls").alias("m_cls"), F.col("weight").alias("m_weight"), F.col("form").alias("m_form")).distinct()
+    whole = cut(whole_pairs(typed_forms, bare)).join(left, "m_form").join(bare, "form").filter(_compatible())
+    pairs = cut(pairs).unionByName(whole.select(*pairs.columns)).distinct()
+    close = pairs.withColumn("e", edits("m_form", "form")).filter(F.col("e") <= _bound(F.least(F.length("m_form"), F.length("form"))))
+    per_ref = cut(close.groupBy("spelled", "m_cls", "ref_id").agg(F.min(F.struct("e", (F.col("weight") + F.col("m_weight")).alias("w"))).alias("s")))
     best = per_ref.groupBy("spelled", "m_cls").agg(F.min("s").alias("s"))
     winners = per_ref.join(best, ["spelled", "m_cls", "s"]).select("spelled", F.col("m_cls").alias("cls"), "ref_id")
     return winners.groupBy("spelled", "cls").agg(F.count("*").alias("n"), F.min("ref_id").alias("ref_id")).filter("n = 1").drop("n")
@@ -269,7 +344,7 @@ def resolve(mentions: DataFrame, entities: DataFrame, registry: DataFrame) -> Da
     fresh, found = profile, None
     for _ in range(MAX_ROUNDS):
         sure = cut(by_key(open_names, profile))
-        left = _without(open_names, sure)
+        left = cut(_without(open_names, sure))
         near = by_edits(left, profile, fresh)
         merged = cut(sure.unionByName(near))
         if merged.isEmpty():

@@ -88,6 +88,31 @@ def test_variants(spark, people):
     assert variants.resolve(m.limit(0), e, people).isEmpty()
 
 
+def test_variants_of_frequent_tokens(spark, people):
+    """Names of nothing but frequent or short tokens, and one-word names, are found up to the accepted bound."""
+    rng = random.Random(6)
+    odd = lambda: "".join(rng.choice("bdfghklmprstvwz") + rng.choice("iou") for _ in range(5)).capitalize()
+    e = [(f"a/{i}", "NPC", f"Anna {odd()}", []) for i in range(120)] + [(f"m/{i}", "NPC", f"{odd()} Mueller", []) for i in range(120)]
+    e += [("x/1", "NPC", "Anna Mueller", []), ("x/2", "NPC", "Bo Mueller", []), ("x/3", "NPC", "Xerquantyl", []), ("x/4", "NPC", "Cyprazentrolavexynth", []), ("x/5", "NPC", "Anna Cyqrexalentovany", [])]
+    typed = [("Anna Muelller", "x/1"), ("Nana Mullerr", "x/1"), ("Bo Muelller", "x/2"), ("Xrquantyll", "x/3"), ("Cyrazentolavexyntt", "x/4"), ("Cypra zentrolavxynth", "x/4"), ("Anna Cyrexalntovani", "x/5")]
+    m = spark.createDataFrame([(i, n, "NPC") for i, (n, _) in enumerate(typed)], "mention_id long, mention_name string, entity_type string")
+    got = {r.mention_id: r.ref_id for r in variants.resolve(m, spark.createDataFrame(e, ENTITY), people).collect()}
+    assert got == {i: ref for i, (_, ref) in enumerate(typed)}
+
+
+@given(st.text("abcdef", min_size=5, max_size=20), st.lists(st.tuples(st.sampled_from("dirs"), st.integers(0, 19), st.sampled_from("abcxyz")), max_size=3))
+@settings(max_examples=300, deadline=None)
+def test_texts_within_three_edits_meet(a, steps):
+    b = a
+    for kind, i, x in steps:
+        i %= max(len(b), 1)
+        b = {"d": b[:i] + b[i + 1 :], "i": b[:i] + x + b[i:], "r": b[:i] + x + b[i + 1 :], "s": b[:i] + b[i + 1 : i + 2] + b[i : i + 1] + b[i + 2 :]}[kind]
+    most = variants.swaps_and_edits(a, b, 3)
+    if most <= 3:
+        assert variants.within_deletions(a, most) & variants.within_deletions(b, most)
+        assert variants.halves(a) & variants.beginnings_and_ends(b)
+
+
 @given(st.text("abc", max_size=7), st.text("abc", max_size=7))
 @settings(max_examples=200, deadline=None)
 def test_edits_bounds(a, b):

@@ -1,6 +1,6 @@
 """Queries of the reference's operators over the campaign tables, each with the SQL it is checked against.
 
-SURVEY ids of the operators stand beside each query.
+SURVEY ids of the operators stand beside each query; where a query does only a part, the part is named.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def tier_counts(spark, folder):  # C5 E5
 
 @query("""WITH c AS (SELECT lower(trim(canonical_name)) AS k, min(concept_id) AS v FROM entities GROUP BY 1), a AS (SELECT lower(trim(x)) AS k, min(concept_id) AS v FROM (SELECT concept_id, unnest(aliases) AS x FROM entities) WHERE trim(coalesce(x,'')) <> '' GROUP BY 1)
 SELECT mention_id, coalesce(c.v, a.v, 'unresolved') AS ref_id, CASE WHEN c.v IS NOT NULL THEN 'canonical' WHEN a.v IS NOT NULL THEN 'alias' ELSE 'default' END AS step FROM mentions m LEFT JOIN c ON c.k = lower(trim(m.mention_name)) LEFT JOIN a ON a.k = lower(trim(m.mention_name))""")
-def routing_cascade(spark, folder):  # D1 D2 D17 D18
+def routing_cascade(spark, folder):  # two levels, canonical and alias, the smallest id of an ambiguous key; D1 D2 D17 D18 not done
     e = table(spark, folder, "entities", "concept_id", "canonical_name", "aliases")
     canon = e.groupBy(fold(F.col("canonical_name")).alias("k")).agg(F.min("concept_id").alias("v"))
     alias = e.select("concept_id", F.explode("aliases").alias("x")).filter(filled(F.col("x"))).groupBy(fold(F.col("x")).alias("k")).agg(F.min("concept_id").alias("v"))
@@ -131,12 +131,12 @@ def alias_collisions(spark, folder):  # N16 G16
 
 
 @query("""SELECT entity_type, lower(title) AS title_key, count(*) AS n_records FROM concept_records WHERE trim(coalesce(title, '')) <> '' GROUP BY 1, 2 HAVING count(*) > 1""")
-def dup_titles(spark, folder):  # E10 N1
+def dup_titles(spark, folder):  # of E10 only equal titles of a type, as groups; the pairs of N1 not done
     return table(spark, folder, "concept_records", "entity_type", "title").filter(filled(F.col("title"))).groupBy("entity_type", F.lower("title").alias("title_key")).agg(F.count("*").alias("n_records")).filter("n_records > 1")
 
 
 @query("""WITH s AS (SELECT regexp_replace(concept_id, '^[^/]*/', '') AS s, split_part(concept_id, '/', 1) AS d FROM concept_records) SELECT s AS name_slug, count(DISTINCT d) AS n_kinds FROM s GROUP BY 1 HAVING count(DISTINCT d) > 1""")
-def cross_type_slugs(spark, folder):  # E10 N2
+def cross_type_slugs(spark, folder):  # of E10 only slugs of several types; the pairs of N2 not done
     s = table(spark, folder, "concept_records", "concept_id").select(F.regexp_replace("concept_id", "^[^/]*/", "").alias("name_slug"), F.split("concept_id", "/")[0].alias("d"))
     return s.groupBy("name_slug").agg(F.countDistinct("d").alias("n_kinds")).filter("n_kinds > 1")
 
@@ -209,7 +209,7 @@ UNION ALL SELECT 'missing_type', count(*) FROM mentions WHERE entity_type IS NUL
 UNION ALL SELECT 'retired_before_created', count(*) FROM entities WHERE retired_at < created_at
 UNION ALL SELECT 'verdict_missing', count(*) FROM adjudications WHERE same_entity IS NULL
 UNION ALL SELECT 'impossible_end', count(*) FROM segments WHERE end_s < start_s""")
-def constraint_suite(spark, folder):  # N3 N6 N10 N15 N19 E30
+def constraint_suite(spark, folder):  # N6 N19 and four checks of these tables; E30 N3 N10 N15 not done
     nodes = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
     edges = table(spark, folder, "orders").select(F.col("o_custkey").alias("start_id"), F.col("o_orderkey").cast("long").alias("end_id"))
     return graphs.constraint_counts({
@@ -263,21 +263,21 @@ def content_keys(spark, folder):  # I35
 
 
 @query("""SELECT coalesce(source, 'all') AS source_name, count(*) AS n_docs, sum(length(text))::BIGINT AS n_letters, grouping(source) AS is_total FROM documents GROUP BY GROUPING SETS ((source), ())""")
-def claim_sets(spark, folder):  # E8 E9
+def claim_sets(spark, folder):  # grouping sets over documents; E9 not done, E8 is grounding_counts
     d = table(spark, folder, "documents", "source", "text")
     return d.rollup("source").agg(F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_letters"), F.grouping("source").cast("long").alias("is_total")).select(F.coalesce("source", F.lit("all")).alias("source_name"), "n_docs", "n_letters", "is_total")
 
 
 @query("""WITH v AS (SELECT doc_id, count(abusive) AS n, avg(abusive) AS m FROM doc_labels GROUP BY 1)
 SELECT doc_id, n AS n_ratings, CASE WHEN n < 2 THEN 'missing' WHEN m IN (0, 1) THEN 'agreed' ELSE 'disputed' END AS verdict FROM v""")
-def judge_resolution(spark, folder):  # E33 E34
+def judge_resolution(spark, folder):  # of E33 agreed, disputed and missing, no adjudication; E34 not done
     v = table(spark, folder, "doc_labels").groupBy("doc_id").agg(F.count("abusive").alias("n_ratings"), F.avg("abusive").alias("m"))
     return v.select("doc_id", "n_ratings", F.when(F.col("n_ratings") < 2, "missing").when(F.col("m").isin(0.0, 1.0), "agreed").otherwise("disputed").alias("verdict"))
 
 
 @query("""WITH p AS (SELECT session_id, candidate_index, bool_or(same_entity) AS truth, max(ratio) AS ratio FROM adjudications GROUP BY 1, 2 HAVING bool_or(same_entity) IS NOT NULL), t AS (SELECT unnest([0.72, 0.75, 0.85]) AS threshold)
 SELECT threshold, count(*) FILTER (ratio >= threshold AND truth) AS tp, count(*) FILTER (ratio >= threshold AND NOT truth) AS fp, count(*) FILTER (ratio < threshold AND truth) AS fn FROM p, t GROUP BY 1""")
-def threshold_sweep(spark, folder):  # E25 E26 I7
+def threshold_sweep(spark, folder):  # tp, fp, fn at three thresholds of I7; E25 E26 not done
     p = table(spark, folder, "adjudications").groupBy("session_id", "candidate_index").agg(F.bool_or("same_entity").alias("truth"), F.max("ratio").alias("ratio")).filter("truth is not null")
     long = p.select("truth", "ratio", F.explode(F.array(*[F.lit(x) for x in (0.72, 0.75, 0.85)])).alias("threshold"))
     n = lambda c: F.count(F.when(c, 1))

@@ -106,13 +106,13 @@ def value_kind(c: Column) -> Column:
 
 
 def features(c: Column, kind: Column) -> Column:
-    """Hashed traits of one value: kind, shape, leading words, magnitude."""
+    """Hashed traits of one value: kind, shape, words, magnitude."""
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"\p{Lu}+", "A"), r"\p{Ll}+", "a"), r"\d+", "0")
-    words = F.slice(F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda w: F.length(w) > 1), 1, 12)
+    words = F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda w: F.length(w) > 1)
     size = F.abs(F.try_to_number(F.regexp_replace(c, ",", "."), F.lit("S9999999D99"))).cast("double")
     magnitude = F.when(kind.isin("whole", "decimal"), F.concat(F.lit("m:"), F.coalesce(F.floor(F.log2(size + 1)).cast("string"), F.lit("big"))))
     names = F.concat(
-        F.array(F.concat(F.lit("k:"), F.when(kind == "decimal", "whole").otherwise(kind)), F.concat(F.lit("s:"), F.substring(shape, 1, 24)), magnitude),
+        F.array(F.concat(F.lit("k:"), F.when(kind == "decimal", "whole").otherwise(kind)), F.concat(F.lit("s:"), shape), magnitude),
         F.when(kind == "text", F.transform(words, lambda w: F.concat(F.lit("w:"), w))).otherwise(F.array().cast("array<string>")),
     )
     names = F.when(kind == "yesno", F.array(F.lit("k:yesno"), F.concat(F.lit("y:"), fold(c).isin(*YES).cast("string")))).otherwise(names)

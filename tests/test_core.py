@@ -102,6 +102,16 @@ def test_field_changes(spark):
     assert drift.field_changes(lines.limit(0)).isEmpty()
 
 
+def test_profiles_of_whole_cells(spark):
+    """Columns that differ only after their 12th word, or in shape only after 24 signs, have different profiles."""
+    head = "der held geht heute langsam durch den wald und sucht seinen hund "
+    row = f"{head}am Abend;{head}im Keller;{'A-0-a-' * 5}7;{'A-0-a-' * 5}b"
+    rows = [(i, "A", 1, "f1", i, t) for i, t in enumerate(["a;b;c;d", row, row], 1)]
+    lines = spark.createDataFrame(rows, LINES)
+    found = {r.field: sorted(r.buckets) for r in drift.profiles(lines, drift.headers(lines)).collect()}
+    assert found["a"] != found["b"] and found["c"] != found["d"]
+
+
 def test_tree_edit_of_nested_schemas():
     leaf = lambda n, k="text": drift.Node(n, k)
     a = drift.Node("", children=[drift.Node("person", children=[leaf("name"), leaf("age", "whole")]), leaf("x")])

@@ -306,9 +306,40 @@ def field_changes(lines: DataFrame, cost: Callable[[Node, Node], float] = conten
         return out[["series", "file_no", "file_name", "change_kind", "old_field", "new_field"]]
 
     # a group is the columns (not the rows) of two files
-    return new.unionByName(old).groupBy("series", "file_no").applyInPandas(
+    changes = new.unionByName(old).groupBy("series", "file_no").applyInPandas(
         compare, "series string, file_no int, file_name string, change_kind string, old_field string, new_field string"
     )
+    return with_kept_kinds(changes, cols.join(order, ["series", "file_no", "file_name"]).select("series", "file_no", "file_name", "field", "kind"))
+
+
+def with_kept_kinds(changes: DataFrame, kinds: DataFrame) -> DataFrame:
+    """``changes`` and the 'retyped' rows of fields that had no values in the file before: they are compared with the last kind they had.
+
+    A kind goes on through renames; a field that is removed or added starts anew. Only names and kinds of a series meet in one task.
+    """
+    rows = changes.withColumn("kind", F.lit(None).cast("string")).unionByName(
+        kinds.select("series", "file_no", "file_name", F.lit("").alias("change_kind"), F.lit("").alias("old_field"), F.col("field").alias("new_field"), "kind")
+    )
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        out, last, seen = [], {}, {}  # last: kind of each field so far; seen: its kind in the file before
+        for no, group in pdf.sort_values(["file_no", "new_field"]).groupby("file_no", sort=True):
+            steps = group[group.change_kind != ""]
+            source = dict(zip(steps[steps.change_kind == "renamed"].new_field, steps[steps.change_kind == "renamed"].old_field, strict=True))
+            fresh = set(steps[steps.change_kind == "added"].new_field)
+            out += list(steps[names].itertuples(index=False, name=None))
+            kept, now = {}, {}
+            for r in group[group.change_kind == ""].itertuples():
+                before = None if r.new_field in fresh else source.get(r.new_field, r.new_field)
+                own, had = r.kind if isinstance(r.kind, str) else None, last.get(before)
+                if own and had and own != had and seen.get(before) is None:
+                    out.append((r.series, no, r.file_name, "retyped", before, r.new_field))
+                kept[r.new_field], now[r.new_field] = own or had, own
+            last, seen = kept, now
+        return pd.DataFrame(out, columns=names)
+
+    names = changes.columns
+    return rows.groupBy("series").applyInPandas(walk, changes.schema)
 
 
 def projections(lines: DataFrame, changes: DataFrame) -> DataFrame:

@@ -112,6 +112,14 @@ def test_profiles_of_whole_cells(spark):
     assert found["a"] != found["b"] and found["c"] != found["d"]
 
 
+def test_kinds_are_kept_over_blank_files(spark):
+    """Whole, then blank, then text is retyped; also if renamed on the way. Whole, blank, whole is not."""
+    files = {1: ["a;b;c", *[f"{i};{i};x{i} y" for i in range(1, 9)]], 2: ["a;b;c", *[f";;x{i} y" for i in range(1, 9)]], 3: ["A neu;b;c", *["wort hier;7;x y"] * 8]}
+    rows = [(100 * n + i, "A", n, f"f{n}", i + 1, t) for n, lines in files.items() for i, t in enumerate(lines)]
+    changes = drift.field_changes(spark.createDataFrame(rows, LINES), lambda x, y: 0.5 if (x.name, y.name) == ("a", "A neu") else 2.0)
+    assert {tuple(r)[1:] for r in changes.collect()} == {(3, "f3", "renamed", "a", "A neu"), (3, "f3", "retyped", "a", "A neu")}
+
+
 def test_tree_edit_of_nested_schemas():
     leaf = lambda n, k="text": drift.Node(n, k)
     a = drift.Node("", children=[drift.Node("person", children=[leaf("name"), leaf("age", "whole")]), leaf("x")])

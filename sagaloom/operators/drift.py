@@ -3,7 +3,8 @@
 Every file of a series has a schema tree: a root whose children are its fields; fields may have children of their own
 (nested records). Consecutive schemas are compared by tree edit distance: at each pair of matched nodes the children
 are assigned to each other at minimum cost, which yields the cheapest script of additions, deletions, renames and type
-changes; moves cost nothing because order carries no meaning. Renaming is priced by how unlike the contents are, so a
+changes; another order costs nothing because it carries no meaning, and a field
+moved to another parent is removed and added. Renaming is priced by how unlike the contents are, so a
 field under another header with the same contents is cheaper to rename than to delete and add. The scripts are
 compiled into one projection per file that maps its headers to the consistent fields of the series.
 

@@ -3,20 +3,27 @@
 A profile is everything known about one entity or player: its spellings, their shortened forms and its initials. Each
 round every open spelling looks its profile up: first by keys under which it must be equal to a form that only one
 compatible profile has (case, hyphens, transliteration, order, titles, epithets, missing parts, initials), then by
-edit distance among the profiles that share a token up to one deletion. A spelling that finds exactly one profile is
-merged: the profile takes it over with its shortened forms and initials, the richer profiles re-enter blocking, and
-the rounds go on until nothing merges. A spelling that fits several profiles equally stays open.
+edit distance. A spelling that finds exactly one profile is merged: the profile takes it over with its shortened forms
+and initials, the richer profiles re-enter blocking, and the rounds go on until nothing merges. From the second round on
+only what is new is looked at: keys and forms of the spellings just merged. What came close in earlier rounds is kept,
+so a spelling that fits several profiles equally stays open.
 
-Blocks: key lookups are aggregated per key before the join, so a key of many profiles costs one row. The edit search
-joins on tokens with at most one deletion; a token of more than ``HOT_TOKEN`` profiles is no key, and names that
-hold one are found through their other tokens with up to two deletions. Profile forms with fewer than two tokens that
-block (all hot or short, or one word) are also found whole, with deletions up to the accepted bound, so every pair
-within it meets; of the typed names only those are expanded that have a half in common with such a form, up to one
-deletion. Mentions are reduced to distinct spellings before anything is compared; nothing is collected.
+The edit search goes from cheap to dear, on distinct forms and, where it can, on distinct words, and what is settled is
+not searched again, because fewer edits always win:
+
+* one edit: whole forms that share a deletion;
+* two edits in forms of 9 to 17 letters: every profile form is filed under its rarest word and its place; a typed form
+  asks with each of its words, and words within two edits share a form with two deletions. Words are compared as a
+  vocabulary, not per name, and a frequent word is only ever filed under if all others of its name are more frequent,
+  so no list of names grows with the frequency of a word;
+* three edits in forms from 16 letters: of the halves of a form one has one edit at most, wherever blanks are.
+
+Mentions are reduced to distinct spellings before anything is compared; key lookups are aggregated per key before the
+join, so a key of many profiles costs one row; nothing is collected.
 
 Defined edge results: null, empty and letterless names mean nobody; a name equal to a known one character by character
 needs no link; null types are compatible with every type, Character and NPC are one type; repeated rows each get their
-link; profiles without usable names and empty tables link nothing.
+link; profiles without usable names and empty tables link nothing; rounds that do not end raise an error.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +39,8 @@ from sagaloom.functions.names import filled
 from sagaloom.llm.spelling import deletions, letters
 from sagaloom.session import cut, shuffle_partitions
 
-HOT_TOKEN = 100  # profiles from which on a token alone no longer blocks
-MAX_ROUNDS = 30  # a guard against endless rounds; the loop ends when nothing merges
+MAX_ROUNDS = 30  # a guard: rounds end when nothing merges; more of them are an error, never a silent end
+LONG = 16  # letters of a form from which on three edits are accepted
 #: Forms of address that precede a name.
 TITLES = (
     "graf", "graefin", "gr", "koenig", "koenigin", "bruder", "br", "schwester", "schw", "meister", "meisterin", "mstr", "vogt", "voegtin", "hauptmann", "hptm",
@@ -153,13 +160,19 @@ def mention_keys(spelled: DataFrame) -> DataFrame:
     )
 
 
-def by_key(open_names: DataFrame, spelled: DataFrame) -> DataFrame:
-    """spelled, cls, ref_id of the open names with a surest key that one compatible profile has."""
-    keys = profile_keys(spelled)
+def by_key(open_names: DataFrame, spelled: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
+    """spelled, cls, ref_id of the open names with a surest key that one compatible profile has.
+
+    With ``fresh`` spellings only names that share a key with one of them are looked at.
+    """
+    asked = mention_keys(open_names)
+    if fresh is not None:
+        touched = asked.join(_sorted_side(profile_keys(fresh).select("key").distinct()), "key", "left_semi").select("spelled", "cls").distinct()
+        asked = asked.join(_sorted_side(touched), ["spelled", "cls"], "left_semi")
     # per key and type at most one row: how many profiles, and which
-    owners = keys.groupBy("key", "cls").agg(F.count("*").alias("n"), F.min("ref_id").alias("ref_id"))
+    owners = profile_keys(spelled).groupBy("key", "cls").agg(F.count("*").alias("n"), F.min("ref_id").alias("ref_id"))
     hits = (
-        mention_keys(open_names).withColumnRenamed("cls", "m_cls").join(owners, "key")
+        asked.withColumnRenamed("cls", "m_cls").join(_sorted_side(owners), "key")
         .filter(_compatible())
         .groupBy("spelled", "m_cls", "rank").agg(F.sum("n").alias("n"), F.countDistinct("ref_id").alias("d"), F.min("ref_id").alias("ref_id"), F.max("n").alias("most"))
     )
@@ -225,31 +238,9 @@ def _forms_of_mentions(open_names: DataFrame) -> DataFrame:
     ).filter(F.length("form") >= 5).distinct()
 
 
-def _blocks(forms: DataFrame, hot: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns and block: per token the token up to one deletion, in names with a hot token up to two."""
-    each = forms.select(*keep, F.explode(F.array_distinct("t")).alias("tok"), F.col("t").alias("all_tokens"))
-    long = each.filter(F.length("tok") >= 4).join(hot.select(F.col("token").alias("tok"), F.lit(True).alias("is_hot")), "tok", "left")
-    with_hot = long.filter("is_hot").select(*keep).distinct().withColumn("has_hot", F.lit(True))
-    cool = long.filter("is_hot is null")
-    once = cool.select(*keep, F.explode(deletions(F.col("tok"))).alias("block"))
-    twice = cool.join(with_hot, keep, "left_semi").select(
-        *keep, F.explode(F.array_distinct(F.flatten(F.transform(deletions(F.col("tok")), lambda d: deletions(d))))).alias("block")
-    )
-    glued = forms.filter(F.size("t") == 1)  # a name written without blanks has no tokens in common: compare it whole
-    return once.unionByName(twice).unionByName(glued.select(*keep, F.explode(deletions(F.col("form"))).alias("block"))).distinct()
-
-
-def _uncovered(forms: DataFrame, hot: DataFrame) -> DataFrame:
-    """ref_id, cls, weight, form of the forms of which at most one token blocks, so that all edits may lie in it."""
-    keep = ["ref_id", "cls", "weight", "form"]
-    tokens = forms.select(*keep, F.explode(F.array_distinct("t")).alias("token")).filter(F.length("token") >= 4)
-    cool = tokens.join(hot, "token", "left_anti").groupBy(*keep).agg(F.count("*").alias("n")).filter("n > 1")
-    return forms.select(*keep).distinct().join(cool, keep, "left_anti")
-
-
 def _bound(length: Column) -> Column:
     """Accepted edits between two forms whose shorter one has this many letters."""
-    return F.when(length >= 16, 3).when(length >= 9, 2).otherwise(1)
+    return F.when(length >= LONG, 3).when(length >= 9, 2).otherwise(1)
 
 
 def within_deletions(text: str, most: int) -> set[str]:
@@ -274,93 +265,138 @@ def beginnings_and_ends(text: str) -> set[str]:
     return set().union(*(within_deletions(x, 1) for i in sizes for x in (text[:i], text[n - i :])))
 
 
-def _exploded(rows: DataFrame, forms: Callable[[str, int], set[str]]) -> DataFrame:
-    """form, block: the ``forms`` of every row (form, depth), as hashes."""
+def _one_swap(a: Column, b: Column) -> Column:
+    """Whether two strings of one length become equal by swapping two neighbours."""
+    turned = lambda i: F.concat(F.substring(a, F.lit(1), i - 1), F.substring(a, i + 1, F.lit(1)), F.substring(a, i, F.lit(1)), F.substring(a, i + 2, F.length(a)))
+    return (F.length(a) == F.length(b)) & F.exists(F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))), lambda i: turned(i) == b)
+
+
+def one_edit_pairs(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """m_form, form, e of all forms within one edit or swap: they share a deletion."""
+    keyed = lambda df: df.select("form").distinct().select("form", F.explode(F.transform(deletions(F.col("form")), lambda d: F.xxhash64(d))).alias("block"))
+    met = keyed(mine).withColumnRenamed("form", "m_form").join(_sorted_side(keyed(theirs)), "block").withColumn("e", F.levenshtein("m_form", "form", 2)).filter("e >= 0")
+    e = F.when(F.col("e") <= 1, F.col("e")).when(_one_swap(F.col("m_form"), F.col("form")), 1)
+    return met.select("m_form", "form", e.alias("e")).filter("e is not null").distinct()
+
+
+def _within_two(words: DataFrame, name: str) -> DataFrame:
+    """n, place, ``name``, block of distinct words: the word with up to two letters left out."""
+    twice = F.array_distinct(F.flatten(F.transform(deletions(F.col("word")), lambda d: deletions(d))))
+    rows = words.distinct().select("n", "place", "word", F.explode(F.transform(twice, lambda d: F.xxhash64("n", "place", d))).alias("block"))
+    return rows.withColumnRenamed("word", name)
+
+
+def rarest_words(forms: DataFrame) -> DataFrame:
+    """form, n, place, word: every form under its rarest word, the place of that word and the number of words."""
+    each = forms.select("form", "t").distinct().select("form", "t", F.posexplode("t").alias("place", "word"))
+    counts = each.groupBy("word").agg(F.count("*").alias("seen"))
+    best = each.join(_sorted_side(counts), "word").groupBy("form", "t").agg(F.min(F.struct("seen", -F.length("word"), "place", "word")).alias("b"))
+    return best.select("form", F.size("t").alias("n"), F.col("b.place").alias("place"), F.col("b.word").alias("word"))
+
+
+def word_pairs(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """m_form, form of 9 to 17 letters whose words stand in the same places and whose rarest word is within two edits."""
+    short = F.length("form").between(9, LONG + 1)
+    filed = rarest_words(theirs.filter(short))
+    typed = mine.filter(short).select(F.col("form").alias("m_form"), "t").distinct()
+    asked = typed.select("m_form", F.size("t").alias("n"), F.posexplode("t").alias("place", "word"))
+    # a blank too many: the whole as one word
+    asked = asked.unionByName(typed.filter(F.size("t") > 1).select("m_form", F.lit(1).alias("n"), F.lit(0).alias("place"), F.col("m_form").alias("word"))).distinct()
+    key = ["n", "place", "word"]
+    alike = _within_two(asked.select(*key), "typed_word").join(_sorted_side(_within_two(filed.select(*key), "filed_word").drop("n", "place")), "block").select("n", "place", "typed_word", "filed_word").distinct()
+    met = asked.join(_sorted_side(alike.withColumnRenamed("typed_word", "word")), key).select("m_form", "n", "place", F.col("filed_word").alias("word"))
+    return met.join(_sorted_side(filed), key).select("m_form", "form")
+
+
+def _exploded(forms: DataFrame, name: str, parts: Callable[[str], set[str]]) -> DataFrame:
+    """``name``, block: the parts of every form, as hashes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out: list[tuple[str, str]] = []
-            for form, depth in zip(pdf["form"], pdf["depth"], strict=True):
-                out += [(form, x) for x in forms(form, depth)]
+            for form in pdf["form"]:
+                out += [(form, x) for x in parts(form)]
                 if len(out) > 50_000:
-                    yield pd.DataFrame(out, columns=["form", "part"])
+                    yield pd.DataFrame(out, columns=[name, "part"])
                     out = []
-            yield pd.DataFrame(out, columns=["form", "part"])
-
-    return rows.select("form", "depth").mapInPandas(run, "form string, part string").select("form", F.xxhash64("part").alias("block"))
-
-
-def whole_pairs(mine: DataFrame, theirs: DataFrame) -> DataFrame:
-    """m_form, form: all pairs within the accepted bound (and others that share a deletion), whatever their tokens."""
-    size = F.length("form")
-    parts = shuffle_partitions(mine.sparkSession)
-    known = cut(theirs.select("form").distinct().repartition(parts, "form").withColumn("depth", _bound(size)))
-    # a typed form needs as many deletions as the profile form of a near length that allows most
-    both = F.least("n", "m")
-    near = known.select(size.alias("n")).distinct().withColumn("m", F.explode(F.sequence(F.col("n") - 3, F.col("n") + 3)))
-    depths = near.filter(F.abs(F.col("n") - F.col("m")) <= _bound(both)).groupBy("m").agg(F.max(_bound(both)).alias("depth"))
-    typed = cut(mine.select("form").distinct().withColumn("m", size).join(F.broadcast(depths), "m").select("form", "depth").repartition(parts, "form"))
-    sides = _exploded(known, lambda form, _: halves(form)).select("block").distinct()
-    alike = _exploded(typed, lambda form, _: beginnings_and_ends(form)).join(sides, "block", "left_semi").select("form").distinct()
-    left = _exploded(cut(typed.join(alike, "form", "left_semi").repartition(parts, "form")), within_deletions).withColumnRenamed("form", "m_form")
-    return left.join(_exploded(known, within_deletions), "block").filter(F.levenshtein("m_form", "form", 6) >= 0).select("m_form", "form").distinct()
-
-
-def by_edits(open_names: DataFrame, spelled: DataFrame, fresh: DataFrame) -> DataFrame:
-    """spelled, cls, ref_id of the open names within three edits (two in names under 16 letters, one under nine) of one profile's ``fresh`` form."""
-    # cut where frames are used several times: the plan of all rounds in one would be too large for the driver
-    profile_forms = cut(_forms_of_profiles(fresh))
-    words = spelled.select("ref_id", F.explode(F.array_distinct(_tokens(F.col("spelled")))).alias("token")).distinct()
-    hot = cut(words.groupBy("token").count().filter(F.col("count") > HOT_TOKEN).select("token"))
-    typed_forms = cut(_forms_of_mentions(open_names))
-    mine = _blocks(typed_forms, hot, ["spelled", "cls", "weight", "form"]).withColumnsRenamed(
-        {"cls": "m_cls", "weight": "m_weight", "form": "m_form"}
-    )
-    theirs = _blocks(profile_forms, hot, ["ref_id", "cls", "weight", "form"])
-    glued = profile_forms.filter((F.size("t") > 1) & (F.col("weight") == 0)).select("ref_id", "cls", "weight", "form", F.explode(deletions(F.col("form"))).alias("block"))
-    pairs = (
-        mine.join(theirs.unionByName(glued), "block")
-        .filter(_compatible())
-        .filter(F.levenshtein("m_form", "form", 6) >= 0)
-        .select("spelled", "m_cls", "m_weight", "m_form", "ref_id", "weight", "form").distinct()
-    )
-    bare = cut(_uncovered(profile_forms, hot))
-    left = typed_forms.select("spelled", F.col("cls").alias("m_cls"), F.col("weight").alias("m_weight"), F.col("form").alias("m_form")).distinct()
-    whole = cut(whole_pairs(typed_forms, bare)).join(left, "m_form").join(bare, "form").filter(_compatible())
-    pairs = cut(pairs).unionByName(whole.select(*pairs.columns)).distinct()
-    close = pairs.withColumn("e", edits("m_form", "form")).filter(F.col("e") <= _bound(F.least(F.length("m_form"), F.length("form"))))
-    per_ref = cut(close.groupBy("spelled", "m_cls", "ref_id").agg(F.min(F.struct("e", (F.col("weight") + F.col("m_weight")).alias("w"))).alias("s")))
-    best = per_ref.groupBy("spelled", "m_cls").agg(F.min("s").alias("s"))
-    winners = per_ref.join(best, ["spelled", "m_cls", "s"]).select("spelled", F.col("m_cls").alias("cls"), "ref_id")
-    return winners.groupBy("spelled", "cls").agg(F.count("*").alias("n"), F.min("ref_id").alias("ref_id")).filter("n = 1").drop("n")
+            yield pd.DataFrame(out, columns=[name, "part"])
 
+    return forms.mapInPandas(run, f"{name} string, part string").select(name, F.xxhash64("part").alias("block"))
 
-def resolve(mentions: DataFrame, entities: DataFrame, registry: DataFrame) -> DataFrame:
-    """mention_id, ref_id of the mentions whose name is a variant of one known name."""
-    profile = cut(known_spellings(entities, registry))
+
+def half_pairs(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """m_form, form of 16 letters or more that have a half in common up to one deletion, wherever their blanks are."""
+    long = lambda df: df.select("form").filter(F.length("form") >= LONG).distinct()
+    return _exploded(long(mine), "m_form", beginnings_and_ends).join(_sorted_side(_exploded(long(theirs), "form", halves)), "block").select("m_form", "form")
+
+
+def _scores(pairs: DataFrame, mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """spelled, cls, ref_id, s: of every typed name and profile the fewest edits and the lowest weight."""
+    left = mine.select("spelled", F.col("cls").alias("m_cls"), F.col("weight").alias("m_weight"), F.col("form").alias("m_form"))
+    right = theirs.select("ref_id", "cls", "weight", "form")
+    met = pairs.join(_sorted_side(left), "m_form").join(_sorted_side(right), "form").filter(_compatible())
+    return met.groupBy("spelled", F.col("m_cls").alias("cls"), "ref_id").agg(F.min(F.struct("e", (F.col("weight") + F.col("m_weight")).alias("w"))).alias("s"))
+
+
+def by_edits(open_names: DataFrame, fresh: DataFrame) -> DataFrame:
+    """spelled, cls, ref_id, s (edits, weight) of the open names and the profiles one of whose ``fresh`` forms is within the accepted edits and nearest."""
+    theirs, mine = cut(_spread(_forms_of_profiles(fresh), "form")), cut(_spread(_forms_of_mentions(open_names), "form"))
+    near = cut(_scores(one_edit_pairs(mine, theirs), mine, theirs))
+    rest = cut(_spread(mine.join(near.select("spelled", "cls").distinct(), ["spelled", "cls"], "left_anti"), "form"))
+    bound = _bound(F.least(F.length("m_form"), F.length("form")))
+    met = word_pairs(rest, theirs).unionByName(half_pairs(rest, theirs)).filter((F.length("m_form") >= 9) & (F.levenshtein("m_form", "form", 6) >= 0)).distinct()
+    far = met.withColumn("e", edits("m_form", "form")).filter(F.col("e") <= bound)
+    return near.unionByName(_scores(far, rest, theirs))
+
+
+def nearest(scores: DataFrame) -> DataFrame:
+    """``scores`` of the nearest profiles of every name; several rows of a name are a tie."""
+    w = Window.partitionBy("spelled", "cls")  # one name's profiles within the accepted edits
+    return scores.withColumn("least", F.min("s").over(w)).filter("s = least").select("spelled", "cls", "ref_id", "s").distinct()
+
+
+def merge_rounds(mentions: DataFrame, entities: DataFrame, registry: DataFrame) -> DataFrame:
+    """spelled, cls, ref_id, round_no of every typed spelling that was merged into a profile, and the round in which it was."""
+    profile = cut(_spread(known_spellings(entities, registry), "ref_id"))
     known = profile.select(F.col("spelled").alias("mention_name")).distinct()
     typed = mentions.filter(filled(F.col("mention_name"))).select("mention_name", kind_class(F.col("entity_type")).alias("cls")).distinct()
-    open_names = cut(typed.join(known, "mention_name", "left_anti").withColumnRenamed("mention_name", "spelled"))
-    fresh, found = profile, None
-    for _ in range(MAX_ROUNDS):
-        sure = cut(by_key(open_names, profile))
-        left = cut(_without(open_names, sure))
-        near = by_edits(left, profile, fresh)
-        merged = cut(sure.unionByName(near))
+    open_names = typed.join(known, "mention_name", "left_anti").withColumnRenamed("mention_name", "spelled")
+    classes = profile.groupBy("ref_id").agg(F.min("cls").alias("cls"))
+    fresh, ties, found = None, None, None
+    for round_no in range(1, MAX_ROUNDS + 1):
+        open_names = cut(_spread(open_names, "spelled"))
+        sure = cut(by_key(open_names, profile, fresh))
+        scores = by_edits(_without(open_names, sure), profile if fresh is None else fresh)
+        # what came equally close in earlier rounds still counts
+        near = cut(nearest(scores if ties is None else scores.unionByName(ties)))
+        single = near.groupBy("spelled", "cls").agg(F.count("*").alias("n"), F.min("ref_id").alias("ref_id")).filter("n = 1").drop("n")
+        merged = cut(_spread(sure.unionByName(single).withColumn("round_no", F.lit(round_no)), "spelled"))
         if merged.isEmpty():
-            break
+            return merged if found is None else found
         found = merged if found is None else found.unionByName(merged)
-        open_names = cut(_without(open_names, merged))
+        open_names, ties = _without(open_names, merged), _without(near, merged)
         # the profiles take the merged spellings over; only what is new has to be compared again
-        classes = profile.select("ref_id", F.col("cls").alias("p_cls")).groupBy("ref_id").agg(F.min("p_cls").alias("cls"))
-        fresh = cut(merged.select("ref_id", "spelled").distinct().join(classes, "ref_id").select("ref_id", "cls", "spelled"))
+        fresh = merged.select("ref_id", "spelled").distinct().join(classes, "ref_id").select("ref_id", "cls", "spelled")
         profile = profile.unionByName(fresh)
-    if found is None:
-        return mentions.limit(0).select("mention_id", F.lit("").alias("ref_id"))
-    links = found.select(F.col("spelled").alias("mention_name"), "cls", "ref_id")
+    raise RuntimeError(f"spellings still merge after {MAX_ROUNDS} rounds")
+
+
+def resolve(mentions: DataFrame, entities: DataFrame, registry: DataFrame) -> DataFrame:
+    """mention_id, ref_id of the mentions whose name is a variant of one known name."""
+    links = merge_rounds(mentions, entities, registry).select(F.col("spelled").alias("mention_name"), "cls", "ref_id")
     rows = mentions.select("mention_id", "mention_name", kind_class(F.col("entity_type")).alias("cls"))
     return rows.join(links, ["mention_name", "cls"]).select("mention_id", "ref_id").distinct()
 
 
+def _sorted_side(rows: DataFrame) -> DataFrame:
+    """``rows`` for a sort-merge join: Spark takes exploded rows for as few as there were before, and would broadcast them."""
+    return rows.hint("merge")
+
+
+def _spread(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` over all tasks: few bytes become many keys here, so adaptive coalescing by bytes would leave one task."""
+    return rows.repartition(shuffle_partitions(rows.sparkSession), by)
+
+
 def _without(names: DataFrame, done: DataFrame) -> DataFrame:
     return names.join(done.select("spelled", "cls"), ["spelled", "cls"], "left_anti")

@@ -100,6 +100,16 @@ def test_variants_of_frequent_tokens(spark, people):
     assert got == {i: ref for i, (_, ref) in enumerate(typed)}
 
 
+def test_variants_of_variants(spark, people):
+    """A pet name joins its profile; its own misspelling is too far from every known name and is found only then."""
+    e = spark.createDataFrame([("n/1", "NPC", "Weiwaugon Krakriritaum", []), ("n/2", "NPC", "Sazobes Drutigibon", None)], ENTITY)
+    typed = [("Weiwa Krakriritaum", 1), ("Weiwa Krakritaum", 2), ("Sazobes Drutigibo", 1)]
+    m = spark.createDataFrame([(i, n, "NPC") for i, (n, _) in enumerate(typed)], "mention_id long, mention_name string, entity_type string")
+    got = {(r.spelled, r.ref_id, r.round_no) for r in variants.merge_rounds(m, e, people).collect()}
+    assert got == {(n, "n/2" if n.startswith("S") else "n/1", r) for n, r in typed}
+    assert variants.resolve(m, e, people).count() == 3
+
+
 @given(st.text("abcdef", min_size=5, max_size=20), st.lists(st.tuples(st.sampled_from("dirs"), st.integers(0, 19), st.sampled_from("abcxyz")), max_size=3))
 @settings(max_examples=300, deadline=None)
 def test_texts_within_three_edits_meet(a, steps):

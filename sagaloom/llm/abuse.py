@@ -2,14 +2,19 @@
 
 Tokens (words, and pairs of neighbouring words) carry log-odds between passages that raters found abusive and other
 text, with Dirichlet priors: the prior of a token is its share in the whole corpus, counted over all documents, and
-words of a small public lexicon start with a few sightings on the abusive side. Only document labels exist, and raters
-err, so passages are found in turns: first every sentence of an abusive document counts, then those that score high on
-what the OTHER documents teach, and so on. Sightings are always held against the length of whole abusive documents, so
-a word that raters marked no more often than any other speaks neither way.
-
-Every document is then scanned once, in linear time, for all its maximal scoring segments. The best segment of a
-document is calibrated by its extreme-value law: over all documents the best scores, less the logarithm of the length,
-follow a Gumbel law whose place and width are taken from quantiles that the rare abusive documents do not move.
+the plain insults and sexual words below, which are in any dictionary, start with some sightings on the abusive side.
+Only document labels exist, and raters err, so passages are found in turns: first every sentence of an abusive document
+counts, then those that score high on what the OTHER documents teach, and so on. An abusive document in which the others
+explain nothing teaches its own high sentences, but only words that recur in the corpus. Sightings are always held
+against the length of whole abusive documents, so a word that raters marked no more often than any other speaks neither
+way.
+
+Every document is tokenised once; the tokens are written and both counted and scanned. The scan finds, in linear time,
+all maximal scoring segments of a document. They are calibrated by an extreme-value law: over all documents the best
+scores, less the logarithm of the length, follow a Gumbel law whose place and width are taken from quartiles that the
+rare abusive documents do not move. A segment is significant if, by that law, no more than ``FALSE_DOCUMENTS`` documents
+of the whole corpus are expected to reach its score without abuse; a document with a significant segment is abusive.
+There is no other threshold, so the score that is needed moves with the corpus and with what the labels could teach.
 
 Disguises are undone before scoring: letters set apart, repeated letters, digits and signs for letters; a word with
 letters masked out is matched against the words learned, and a mask itself is a token with its own log-odds.
@@ -33,38 +38,44 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sagaloom.session import cut
+from sagaloom.session import cut, stored
 
 MAX_LABELLED = 20_000
 PRIOR_TOKENS = 200.0  # weight of the Dirichlet prior, in tokens
-LEXICON_SIGHTINGS = 2.0
+LEXICON_SIGHTINGS = 10.0
+SEEN_AGAIN = 3  # sightings in the corpus from which on a word of a single abusive document can be evidence
 ROUNDS = 4
 PAIR = 0.5  # weight of a pair beside its words
 BIAS = -0.3  # per token, so that text nobody rated scores below zero
 LOWEST, HIGHEST = -0.7, 5.0
-PASSAGE_SCORE = 5.0  # score from which a sentence counts as a passage while learning
-SIGNIFICANCE = 1e-5  # chance of a best segment as high in a document of the same length without abuse
-LEAST_SCORE = 11.0
+PASSAGE_SCORE = 5.0  # score from which a sentence counts as a passage while learning, by what other documents teach
+OWN_SCORE = 4.0  # the same by what its own document teaches, where the others teach nothing
+FALSE_DOCUMENTS = 0.05  # documents without abuse expected to be found in the whole corpus
+KEPT_SCORE = 1.0  # segments below this are not carried; the best one always is
 MASK = "<mask>"
-#: Insults, slurs and sexual words of everyday German and English.
+#: Insults and sexual words of everyday German and English, written down from general knowledge.
 LEXICON = (
-    "arschloch", "arsch", "wichser", "hurensohn", "hure", "nutte", "schlampe", "fotze", "missgeburt", "drecksau", "dreckstück", "drecksack", "mistkerl", "miststück",
-    "schwachkopf", "vollidiot", "idiot", "trottel", "penner", "versager", "spast", "spasti", "bastard", "abschaum", "gesindel", "ungeziefer", "untermenschen", "drecksvolk",
-    "fick", "ficken", "fickt", "fickte", "gefickt", "verpiss", "fresse", "verrecke", "krepier", "scheiße", "titten", "geil", "geile", "nacktbilder", "lutsch", "eindrang", "stöhnte",
-    "asshole", "bitch", "bastard", "motherfucker", "moron", "scumbag", "scum", "cunt", "whore", "slut", "dickhead", "retard", "fuck", "fucked", "fucking", "shit", "vermin", "filth", "subhuman",
-    "tits", "horny", "nude", "nudes", "suck", "moaned",
+    "arschloch", "arsch", "wichser", "hurensohn", "hure", "nutte", "schlampe", "fotze", "missgeburt", "drecksau", "drecksack", "mistkerl", "miststück",
+    "schwachkopf", "vollidiot", "idiot", "trottel", "penner", "versager", "spast", "spasti", "bastard", "abschaum", "gesindel", "ungeziefer", "untermenschen",
+    "fick", "ficken", "fickt", "fickte", "gefickt", "fresse", "verrecke", "krepier", "scheiße", "titten", "geil", "lutsch",
+    "asshole", "bitch", "motherfucker", "moron", "scumbag", "scum", "cunt", "whore", "slut", "dickhead", "retard", "fuck", "fucked", "fucking", "shit", "vermin", "filth", "subhuman",
+    "tits", "horny", "suck",
 )
 LEET = str.maketrans("0134578@$!€", "oieastbasie")
 SPACED = re.compile(r"(?<!\w)[^\W\d_](?: [^\W\d_]){3,}(?!\w)")
 TOKEN = re.compile(r"[^\W_](?:[^\W_]|[*#]+|[$@€!](?=[^\W_$@€!])|-{2,}(?=[^\W_])|\.(?=[^\W\d_]{2}))*|[$@€][^\W_]+")
+PLAIN = re.compile(r"[^\W_]+")
+DISGUISE = re.compile(r"[*#$@€]|!(?=[^\W_])|--|\.(?=[^\W\d_]{2})")  # texts without any of these hold plain words only
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 REPEAT = re.compile(r"([^\W\d_])\1{2,}")
 
 
 def words(text: str) -> list[str]:
     """Tokens with disguises undone; a word with letters masked out keeps its mask."""
-    t = unicodedata.normalize("NFKC", text).lower()
-    t = SPACED.sub(lambda m: m.group().replace(" ", ""), t)
+    t = text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).lower()
+    t = REPEAT.sub(r"\1", SPACED.sub(lambda m: m.group().replace(" ", ""), t))
+    if not DISGUISE.search(t):
+        return [w if w.isalpha() else "0" if w.isdigit() else w.translate(LEET) for w in PLAIN.findall(t)]
     out = []
     for m in TOKEN.finditer(t):
         w = m.group()
@@ -74,17 +85,17 @@ def words(text: str) -> list[str]:
         if "." in w and not re.fullmatch(r"[^\W\d_]{1,2}\.[^\W\d_]{2,}", w):
             out += [x for x in w.split(".") if x]
             continue
-        if not re.search(r"[*#.]|--", w):
+        if not is_masked(w):
             if w.isdigit():
                 w = "0"
             elif not w.isalpha():
                 w = w.translate(LEET)
-        out.append(REPEAT.sub(r"\1", w))
+        out.append(w)
     return out
 
 
 def is_masked(w: str) -> bool:
-    return bool(re.search(r"[*#.]|--", w))
+    return not w.isalnum() and ("*" in w or "#" in w or "." in w or "--" in w)
 
 
 def mask_pattern(w: str) -> re.Pattern:
@@ -201,7 +212,7 @@ class Learner:
         return seen, docs
 
     def weigh(self, f: str, pos: float, docs: float, least: int = 2) -> float:
-        if docs < least and pos > 0:
+        if pos > 0 and docs < least and self.corpus.get(f, 0.0) < SEEN_AGAIN:
             return 0.0  # seen in too few documents: no evidence yet
         return _log_odds(pos, self.clean.get(f, 0.0), self.share(f), self.n_abusive, self.n_clean)
 
@@ -229,8 +240,20 @@ class Learner:
                 out.update(s)
         return out
 
+    def unexplained(self) -> list[list[list[str]]]:
+        """Of every abusive document without a picked passage the sentences that score by its own words alone."""
+        out = []
+        for d, mine in zip(self.abusive, self.picked, strict=True):
+            if not mine:
+                value = lambda s: sum(PAIR * w if " " in f else w + BIAS for f in s for w in [self.weigh(f, 1.0, 1)])
+                out.append([s for s in d if value(s) >= OWN_SCORE])
+        return out
+
     def model(self) -> Model:
         seen, docs = self.counts()
+        for d in self.unexplained():
+            seen.update(f for s in d for f in s)
+            docs.update({f for s in d for f in s})
         names = set(seen) | {f for f, c in self.clean.items() if " " not in f and c >= 2}
         return Model.of({f: w for f in names if abs(w := self.weigh(f, seen.get(f, 0.0), docs.get(f, 0))) > 0.05})
 
@@ -242,69 +265,100 @@ def learn(docs: list[tuple[list[list[str]], float]], corpus: dict[str, float], c
     return learner.model()
 
 
-def labelled(documents: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> list[tuple[list[list[str]], float]]:
+def tokenised(documents: DataFrame) -> DataFrame:
+    """doc_id, source, tokens of every document: blanks between the tokens, line ends between the sentences."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf["tokens"] = ["\n".join(" ".join(s) for s in sentences(t)) if t else "" for t in pdf.pop("text")]
+            yield pdf
+
+    return documents.select("doc_id", "source", "text").mapInPandas(run, "doc_id long, source string, tokens string")
+
+
+def _lines(tokens: str) -> list[list[str]]:
+    return [line.split(" ") for line in tokens.split("\n")] if tokens else []
+
+
+def labelled(tokens: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> list[tuple[list[list[str]], float]]:
     """At most ``most`` rated documents (the smallest hashes) with the mean of their ratings, as sentences."""
     rated = labels.filter("abusive is not null and doc_id is not null").groupBy("doc_id").agg(F.avg(F.col("abusive").cast("double")).alias("y"))
     sample = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = documents.select("doc_id", "text").filter("text is not null").join(sample, "doc_id").select("doc_id", "text", "y")
-    return [(sentences(r.text), r.y) for r in rows.orderBy("doc_id").toLocalIterator()]
+    rows = tokens.select("doc_id", "tokens").filter("tokens != ''").join(sample, "doc_id").select("doc_id", "tokens", "y")
+    return [(_lines(r.tokens), r.y) for r in rows.orderBy("doc_id", "tokens").toLocalIterator()]
 
 
-def corpus_counts(documents: DataFrame, vocabulary: set[str]) -> tuple[dict[str, float], float]:
+def corpus_counts(tokens: DataFrame, vocabulary: set[str]) -> tuple[dict[str, float], float]:
     """Counts of the vocabulary over all documents, and the number of tokens. The vocabulary is bounded by the labelled sample."""
-    known = documents.sparkSession.sparkContext.broadcast(frozenset(vocabulary))
+    known = tokens.sparkSession.sparkContext.broadcast(frozenset(vocabulary))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
+        among = known.value.__contains__
         for pdf in batches:
-            for text in pdf.text:
-                for s in sentences(text or ""):
-                    seen[""] += len(s)
-                    seen.update(f for _, f in features(s) if f in known.value)
+            for text in pdf.tokens:
+                for line in _lines(text):
+                    names = [w if w.isalnum() else MASK if is_masked(w) else w for w in line]
+                    seen[""] += len(names)
+                    seen.update(filter(among, names))
+                    seen.update(filter(among, map(" ".join, zip(names, names[1:], strict=False))))
         yield pd.DataFrame({"f": list(seen), "n": list(seen.values())}, columns=["f", "n"])
 
-    rows = documents.select("text").mapInPandas(count, "f string, n double").groupBy("f").agg(F.sum("n").alias("n")).collect()
+    rows = tokens.select("tokens").mapInPandas(count, "f string, n double").groupBy("f").agg(F.sum("n").alias("n")).collect()
     counts = {r.f: r.n for r in rows}
     return counts, counts.pop("", 1.0)
 
 
-def raw_scores(documents: DataFrame, model: Model) -> DataFrame:
-    """doc_id, source, n_words, best_score, n_passages, passage: every document's best segment and its words."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+SEGMENTS = "array<struct<score: double, first_word: int, n_words: int, words: string>>"
+
+
+def raw_scores(tokens: DataFrame, model: Model) -> DataFrame:
+    """doc_id, source, n_words, best_score, segments: every document's segments of ``KEPT_SCORE`` or more, the best one first."""
+    shared = tokens.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for pdf in batches:
             out = []
-            for text in pdf.text:
-                tokens = words(text or "")
-                found = maximal_segments(m.scores(tokens))
-                best = max(found, key=lambda x: (x[0], -x[1]), default=(0.0, 0, 0))
-                out.append((len(tokens), float(best[0]), sum(x[0] >= LEAST_SCORE for x in found), " ".join(tokens[best[1] : best[2]])))
-            scored = pd.DataFrame(out, columns=["n_words", "best_score", "n_passages", "passage"])
+            for text in pdf.tokens:
+                flat = text.replace("\n", " ").split(" ") if text else []
+                found = sorted(maximal_segments(m.scores(flat)), key=lambda x: (-x[0], x[1]))
+                kept = [f for i, f in enumerate(found) if not i or f[0] >= KEPT_SCORE]
+                parts = [{"score": float(v), "first_word": a, "n_words": b - a, "words": " ".join(flat[a:b])} for v, a, b in kept]
+                out.append((len(flat), float(kept[0][0]) if kept else 0.0, parts))
+            scored = pd.DataFrame(out, columns=["n_words", "best_score", "segments"])
             yield pd.concat([pdf[["doc_id", "source"]].reset_index(drop=True), scored], axis=1)
 
-    return documents.select("doc_id", "source", "text").mapInPandas(
-        score, "doc_id long, source string, n_words int, best_score double, n_passages int, passage string"
-    )
+    return tokens.mapInPandas(score, f"doc_id long, source string, n_words int, best_score double, segments {SEGMENTS}")
 
 
-def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, source, n_words, best_score, chance, n_passages, passage, abusive of every document."""
-    docs = labelled(documents, labels)
-    vocabulary = Learner(docs, {}, 1.0).vocabulary()
-    corpus, size = corpus_counts(documents, vocabulary)
-    raw = cut(raw_scores(documents, learn(docs, corpus, size)))
-    level = F.col("best_score") - F.log(F.greatest(F.col("n_words"), F.lit(1)))
-    q = raw.filter("n_words > 0").agg(F.percentile_approx(level, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10000)).alias("q")).first()["q"] or [0.0, 1.0]
-    # a Gumbel law from its quartiles
+def extreme_law(raw: DataFrame) -> tuple[float, float, int]:
+    """Place and width of the Gumbel law of the best scores less the logarithm of the length, from its quartiles, and the number of documents with words."""
+    level = F.col("best_score") - F.log("n_words")
+    row = raw.filter("n_words > 0").agg(F.percentile_approx(level, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10000)).alias("q"), F.count("*").alias("n")).first()
+    q = row["q"] or [0.0, 1.0]
     low, high = -math.log(math.log(4)), -math.log(math.log(4 / 3))
     width = max((q[1] - q[0]) / (high - low), 0.25)
-    place = q[0] - width * low
-    chance = -F.expm1(-F.exp(-(level - place) / width))
-    return raw.select(
-        "doc_id", F.coalesce("source", F.lit("")).alias("source"), "n_words", F.round("best_score", 6).alias("best_score"), F.round(chance, 12).alias("chance"), "n_passages", "passage",
-        ((chance <= SIGNIFICANCE) & (F.col("best_score") >= LEAST_SCORE)).alias("abusive"),
+    return q[0] - width * low, width, row["n"]
+
+
+def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, source, n_words, best_score, chance, n_passages, passage, passages, abusive of every document.
+
+    ``passages`` are all significant segments with score and place (first word from 0), ``passage`` the words of the best segment.
+    """
+    tokens = stored(tokenised(documents))
+    docs = labelled(tokens, labels)
+    corpus, size = corpus_counts(tokens, Learner(docs, {}, 1.0).vocabulary())
+    raw = cut(raw_scores(tokens, learn(docs, corpus, size)))
+    place, width, n = extreme_law(raw)
+    length = F.log(F.greatest(F.col("n_words"), F.lit(1)))
+    chance = lambda v: -F.expm1(-F.exp(-(v - length - place) / width))
+    most = FALSE_DOCUMENTS / max(n, 1)
+    passages = F.filter("segments", lambda x: chance(x["score"]) <= most)
+    return raw.withColumn("passages", passages).select(
+        "doc_id", F.coalesce("source", F.lit("")).alias("source"), "n_words", F.round("best_score", 6).alias("best_score"), F.round(chance(F.col("best_score")), 12).alias("chance"),
+        F.size("passages").alias("n_passages"), F.coalesce(F.col("segments")[0]["words"], F.lit("")).alias("passage"), "passages", (F.size("passages") > 0).alias("abusive"),
     )
 
 

@@ -38,6 +38,11 @@ def p5_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("group_id").agg(value("canonical"), *[value(f) for f in survivors.FIELDS])
 
 
+def p5_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The current value of every field with a member without a time, by the learned order of values."""
+    return survivors.latest_values(*_tables(spark, folder, "merge_groups", "concept_records"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return components.linked_records(*_tables(spark, folder, "merge_groups", "adjudications", "concept_records"))
 
@@ -73,7 +78,7 @@ def p10_source_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_turns, p4_found, p5_found, p5_survivors, p6_found, p8_containers, p8_report, p9_mixture, p9_report, p10_found, p10_scores, p10_source_rates)
+    for f in (p1_found, p1_turns, p4_found, p5_found, p5_survivors, p5_latest, p6_found, p8_containers, p8_report, p9_mixture, p9_report, p10_found, p10_scores, p10_source_rates)
 }
 
 _LEVEL = "CASE lower(trim({0})) WHEN 'niedrig' THEN 1 WHEN 'mittel' THEN 2 WHEN 'hoch' THEN 3 ELSE 0 END"
@@ -88,7 +93,37 @@ _MEMBERS = f"""
 
 # Currency reasoning only decides between members that quality and time leave equal; the SQL follows it by a recursive
 # walk over the learned precedences inside each group.
+_CURRENCY = f"""
+WITH RECURSIVE {_MEMBERS},
+  recs AS (SELECT concept_id, {_LEVEL.format('quality')} AS q, updated_at, mention_count, title, subtype, description, home, resource_url FROM concept_records),
+  long AS (UNPIVOT (SELECT m.group_id, r.* FROM members m JOIN recs r USING (concept_id)) ON title, subtype, description, home, resource_url INTO NAME field_name VALUE v),
+  vals AS (SELECT * FROM long WHERE lower(trim(v)) NOT IN ({_STAND_INS})),
+  lagged AS (SELECT field_name, lag(v) OVER (PARTITION BY group_id, field_name ORDER BY updated_at, concept_id) AS e, v AS l FROM vals WHERE updated_at IS NOT NULL),
+  steps AS (SELECT field_name, e, l, count(*) AS n FROM lagged WHERE e <> l GROUP BY ALL),
+  learned AS (SELECT s.field_name, s.e, s.l FROM steps s LEFT JOIN steps t ON t.field_name = s.field_name AND t.e = s.l AND t.l = s.e WHERE s.n > coalesce(t.n, 0)),
+  opened AS (SELECT DISTINCT group_id, field_name FROM vals WHERE updated_at IS NULL),
+  gv AS (SELECT DISTINCT v.group_id, v.field_name, v.v FROM vals v JOIN opened o USING (group_id, field_name)),
+  ge AS (SELECT a.group_id, a.field_name, d.e, d.l FROM gv a JOIN learned d ON d.field_name = a.field_name AND d.e = a.v
+         JOIN gv b ON b.group_id = a.group_id AND b.field_name = a.field_name AND b.v = d.l),
+  walk(group_id, field_name, v, depth) AS (SELECT DISTINCT group_id, field_name, e, 0 FROM ge
+         UNION SELECT w.group_id, w.field_name, g.l, w.depth + 1 FROM walk w JOIN ge g ON g.group_id = w.group_id AND g.field_name = w.field_name AND g.e = w.v WHERE w.depth < 12),
+  depths AS (SELECT group_id, field_name, v, max(depth) AS depth FROM walk GROUP BY ALL)"""
+
 ORACLE: dict[str, str] = {
+    "p5_latest": _CURRENCY + """
+SELECT group_id, field_name, concept_id, v AS value, depth FROM (SELECT v.*, coalesce(d.depth, 0) AS depth, row_number() OVER (PARTITION BY group_id, field_name
+    ORDER BY coalesce(d.depth, 0) DESC, q DESC, updated_at DESC NULLS LAST, mention_count DESC NULLS LAST, concept_id) AS rn
+  FROM vals v JOIN opened o USING (group_id, field_name) LEFT JOIN depths d USING (group_id, field_name, v)) WHERE rn = 1""",
+    "p5_survivors": _CURRENCY + """,
+  ranked AS (SELECT v.group_id, v.field_name, v.v, row_number() OVER (PARTITION BY v.group_id, v.field_name
+               ORDER BY v.q DESC, v.updated_at DESC NULLS LAST, coalesce(d.depth, 0) DESC, v.mention_count DESC NULLS LAST, v.concept_id) AS rn
+             FROM vals v LEFT JOIN depths d USING (group_id, field_name, v)),
+  lead AS (SELECT m.group_id, r.concept_id AS v, row_number() OVER (PARTITION BY m.group_id
+             ORDER BY r.q DESC, r.updated_at DESC NULLS LAST, r.mention_count DESC NULLS LAST, r.concept_id) AS rn FROM members m JOIN recs r USING (concept_id)),
+  best AS (SELECT group_id, field_name, v FROM ranked WHERE rn = 1 UNION ALL SELECT group_id, 'canonical', v FROM lead WHERE rn = 1)
+SELECT group_id, max(v) FILTER (field_name = 'canonical') AS canonical, max(v) FILTER (field_name = 'title') AS title, max(v) FILTER (field_name = 'subtype') AS subtype,
+  max(v) FILTER (field_name = 'description') AS description, max(v) FILTER (field_name = 'home') AS home, max(v) FILTER (field_name = 'resource_url') AS resource_url
+FROM best GROUP BY group_id""",
     "p6_found": """
 WITH RECURSIVE listed AS (SELECT DISTINCT group_id, unnest(concept_ids) AS id FROM merge_groups),
   grouped AS (SELECT l.* FROM listed l SEMI JOIN concept_records r ON l.id = r.concept_id),

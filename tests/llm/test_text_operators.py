@@ -180,6 +180,30 @@ def test_components_beyond_one_partition(spark):
     assert {r.node: r.group_key for r in rows} == {x: root(x) for x in parent}
 
 
+def test_forest_is_bounded():
+    """A star and a chain in one partition: never more nodes at a time than the bound, and the same components."""
+    import pandas as pd
+
+    star = [(f"s{i:05d}", "s") for i in range(5000)]
+    chain = [(f"c{i + 1:05d}", f"c{i:05d}") for i in range(5000)]
+    frames = list(components.forest([pd.DataFrame(star + chain, columns=["a", "b"])], 100))
+    assert max(map(len, frames)) <= 101
+    whole = pd.concat(list(components.forest(iter(frames))))
+    assert dict(zip(whole.a, whole.b, strict=True)) == {a: "s" for a, _ in star} | {a: "c00000" for a, _ in chain}
+
+
+def test_latest_values(spark):
+    """A learned transition names the current value where a time is missing, against quality."""
+    t = lambda d: datetime(2024, 1, d)
+    record = "concept_id string, title string, subtype string, description string, home string, resource_url string, quality string, mention_count int, updated_at timestamp_ntz"
+    rows = [("a", "Alt", None, None, None, None, "niedrig", 1, t(1)), ("b", "Neu", None, None, None, None, "niedrig", 1, t(2)), ("c", "Alt", None, None, None, None, "hoch", 9, None), ("d", "Neu", None, None, None, None, None, None, None)]
+    groups = spark.createDataFrame([(1, ["a", "b"], None), (2, ["c", "d"], None)], "group_id long, concept_ids array<string>, confidence string")
+    r = spark.createDataFrame(rows, record)
+    assert [tuple(x) for x in survivors.latest_values(groups, r).collect()] == [(2, "title", "d", "Neu", 1)]
+    assert {x.concept_id for x in survivors.survivors(groups, r).filter("group_id = 2").collect()} == {"c"}
+    assert survivors.latest_values(groups, r.limit(0)).isEmpty()
+
+
 def test_survivors_with_currency(spark):
     t = lambda d: datetime(2024, 1, d)
     record = "concept_id string, title string, subtype string, description string, home string, resource_url string, quality string, mention_count int, updated_at timestamp_ntz"

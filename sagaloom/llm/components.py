@@ -1,12 +1,14 @@
 """Consolidating pairwise matches into groups (problem 6): connected components by hierarchical union-find.
 
-Every partition of the edge list runs union-find and keeps only its spanning forest (each node with the smallest node
-of its tree), so partitions shrink to at most one row per node. Forests are then merged hierarchically, ``FAN_IN``
-partitions into one, as long as a merged partition stays within ``MAX_EDGES`` rows. If all that is left fits one such
-partition, its forest is the answer. If not, ``joined`` links the roots of a node with each other and takes every root
-on to its own root, pass by pass, until no node has two roots and no root has another root. These passes are plain
-aggregations and joins, which spill, so no task holds a forest in memory; a chain takes about log2 of its length. The
-rows of one root are a skewed join key, which adaptive execution splits.
+Every partition of the edge list, as it is read, runs union-find and keeps only its spanning forest (each node with the
+smallest node of its tree), so nothing is shuffled before it is reduced. A task that has met ``max_edges`` nodes hands its
+forest on and begins a new one, so no task holds more, however large its partition or its component is. Forests are then
+merged hierarchically: shuffled by whole rows into as many partitions as the rows left need, ``FAN_IN`` times fewer each
+time, as long as that makes them fewer. If all that is left fits one partition, its forest is the answer. If not, ``joined``
+links the roots of a node with each other and takes every root on to its own root, pass by pass, until no node has two
+roots and no root has another root. These passes are plain aggregations and joins, which spill, so no task holds a forest
+in memory; a chain takes about log2 of its length. The rows of one root are a skewed join key, which adaptive execution
+splits.
 
 Defined edge results: null ids and self links link nothing; repeated and reversed pairs count once; ids are compared by
 character code; empty tables give an empty result.
@@ -28,8 +30,8 @@ FAN_IN = 8
 MAX_PASSES = 60
 
 
-def forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spanning forest of a partition's edges (a, b): every node but the smallest of its tree, with that smallest one."""
+def forest(batches: Iterator[pd.DataFrame], most: int = MAX_EDGES) -> Iterator[pd.DataFrame]:
+    """Spanning forests of edges (a, b): every node but the smallest of its tree, with that smallest one. At most ``most`` nodes (and one edge) at a time."""
     number: dict[str, int] = {}
     names: list[str] = []
     parent: list[int] = []
@@ -48,6 +50,15 @@ def forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             i = parent[i]
         return i
 
+    def rows() -> Iterator[pd.DataFrame]:
+        step = 100_000
+        for start in range(0, len(names), step):
+            ids = range(start, min(start + step, len(names)))
+            found = [(names[i], names[r]) for i in ids if i != (r := root(i))]
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
+        number.clear(), names.clear(), parent.clear()
+
     for pdf in batches:
         for a, b in zip(pdf["a"].to_numpy(), pdf["b"].to_numpy(), strict=True):
             i, j = root(node(a)), root(node(b))
@@ -56,13 +67,9 @@ def forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     parent[j] = i
                 else:
                     parent[i] = j
-    step = 100_000
-    for start in range(0, len(names), step):
-        ids = range(start, min(start + step, len(names)))
-        roots = [root(i) for i in ids]
-        rows = [(names[i], names[r]) for i, r in zip(ids, roots, strict=True) if i != r]
-        if rows:
-            yield pd.DataFrame(rows, columns=["a", "b"])
+            if len(names) > most:
+                yield from rows()
+    yield from rows()
 
 
 def joined(trees: DataFrame) -> DataFrame:
@@ -79,18 +86,19 @@ def joined(trees: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_edges: int = MAX_EDGES) -> DataFrame:
     """node, group_key: every linked node and the smallest node of its component."""
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null and a != b")
-    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    parts = shuffle_partitions(edges.sparkSession)
-    trees = cut(pairs.repartition(parts, "a", "b").mapInPandas(forest, "a string, b string"))
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    grown = lambda df: cut(df.mapInPandas(lambda batches: forest(batches, max_edges), "a string, b string"))
+    trees = grown(pairs)
     rows = trees.count()
-    while parts > 1 and ceil(rows / max_edges) < parts:
-        parts = max(1, ceil(parts / FAN_IN), ceil(rows / max_edges))
-        # coalesce hands whole forests to a task; it moves no row that is already where it is needed
-        trees = cut(trees.coalesce(parts).mapInPandas(forest, "a string, b string"))
-        if parts > 1:
-            rows = trees.count()
-            if parts == ceil(rows / max_edges):
-                break
+    needed = lambda: max(1, ceil(2 * rows / max_edges))  # partitions: a row has at most two nodes
+    parts = shuffle_partitions(edges.sparkSession) * FAN_IN
+    while True:
+        before, parts = rows, max(needed(), ceil(parts / FAN_IN))
+        # the number is given, so adaptive execution leaves it
+        trees = grown(trees.repartition(parts, "a", "b"))
+        rows = trees.count()
+        if parts == 1 or (parts <= needed() and rows > 0.9 * before):
+            break
     for _ in range(MAX_PASSES):
         if parts == 1:
             break

@@ -124,7 +124,8 @@ def containers(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str =
             "container_id": container + int(pdf.block.iloc[0]) * 10**10, "token_offset": offset,
         })
 
-    return keyed.groupBy("block").applyInPandas(one_block, "doc_id long, part_no int, n_tokens long, container_id long, token_offset long")
+    # a number of partitions that is given is not merged by bytes: rows are few bytes here, but much work
+    return keyed.repartition(int(blocks), "block").groupBy("block").applyInPandas(one_block, "doc_id long, part_no int, n_tokens long, container_id long, token_offset long")
 
 
 def fill_report(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -3,8 +3,8 @@
 Every file of a series has a schema tree: a root whose children are its fields; fields may have children of their own
 (nested records). Consecutive schemas are compared by tree edit distance: at each pair of matched nodes the children
 are assigned to each other at minimum cost, which yields the cheapest script of additions, deletions, renames and type
-changes; another order costs nothing because it carries no meaning, and a field
-moved to another parent is removed and added. Renaming is priced by how unlike the contents are, so a
+changes; another order costs nothing because it carries no meaning. What is removed under one parent and added under
+another with the same name or contents is moved. Renaming is priced by how unlike the contents are, so a
 field under another header with the same contents is cheaper to rename than to delete and add. The scripts are
 compiled into one projection per file that maps its headers to the consistent fields of the series.
 
@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sagaloom.functions.names import fold, stripped
+from sagaloom.session import cut
 
 DELIMITERS = (",", ";", "\t", "|")
 BUCKETS = 256
 #: What people write for nothing, and for yes and no.
 STAND_INS = ("n/a", "na", "k. a.", "k.a.", "-", "--", "?", "??", "???", "unbekannt", "unknown", "none", "null", "tbd", "todo", "nan")
+KINDS = ("whole", "decimal", "clock", "yesno", "text")
 YES, NO = ("true", "ja", "yes", "wahr", "j", "y"), ("false", "nein", "no", "falsch", "n")
 SAME_CONTENT = 0.68  # likeness from which on two fields are taken for one that was renamed
 
@@ -45,8 +47,8 @@ SAME_CONTENT = 0.68  # likeness from which on two fields are taken for one that
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def split_cells(line: pd.Series, delimiter: pd.Series) -> pd.Series:
-    """Cells of a delimited line, quotes honoured; an unbalanced quote falls back to a plain split."""
+def quoted_cells(line: pd.Series, delimiter: pd.Series) -> pd.Series:
+    """Cells of a delimited line with quotes; an unbalanced quote falls back to a plain split. Null stays null."""
 
     def one(text: str | None, by: str | None) -> list[str] | None:
         if text is None or by is None:
@@ -59,6 +61,13 @@ def split_cells(line: pd.Series, delimiter: pd.Series) -> pd.Series:
     return pd.Series([one(t, d) for t, d in zip(line, delimiter, strict=True)], dtype=object)
 
 
+def split_cells(line: str, delimiter: str) -> Column:
+    """Cells of a delimited line; only lines with a quote go to Python, the others are split where they are."""
+    text, by = F.col(line), F.col(delimiter)
+    plain = F.split(F.translate(text, "\n\r\0", "  "), F.concat(F.lit("\\Q"), by, F.lit("\\E")))
+    return F.when(text.contains('"'), quoted_cells(F.when(text.contains('"'), text), by)).otherwise(plain)
+
+
 def clean_header(c: Column) -> Column:
     """A header without byte-order mark, outer quotes and blanks."""
     bare = F.regexp_replace(c, r"(?U)^[\s\x{FEFF}\"']+|[\s\x{FEFF}\"']+$", "")
@@ -128,18 +137,23 @@ def profiles(lines: DataFrame, heads: DataFrame) -> DataFrame:
         "series", "file_no", "file_name", F.col("c.fields").alias("field"), F.col("c.values").alias("v")
     ).filter(F.length("field") > 0)
     typed = long.withColumn("k", value_kind(F.col("v"))).filter(F.col("k").isNotNull())
-    traits = typed.select(*key, "k", F.explode(features(F.col("v"), F.col("k"))).alias("b")).groupBy(*key, "b").agg(F.count("*").alias("n"))
-    vectors = traits.groupBy(*key).agg(F.collect_list("b").alias("buckets"), F.collect_list("n").alias("counts"))  # at most BUCKETS each
-    n = lambda *k: F.count(F.when(F.col("k").isin(*k), 1))
+    # a trait below 0 stands for the kind, so that kinds and contents are counted in one pass
+    kind_no = F.element_at(F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, -1 - i)]), F.col("k"))
+    traits = typed.select(*key, F.explode(F.concat(F.array(kind_no), features(F.col("v"), F.col("k")))).alias("b")).groupBy(*key, "b").agg(F.count("*").alias("n"))
+    real = F.col("b") >= 0
+    seen = lambda k: F.coalesce(F.sum(F.when(F.col("b") == -1 - KINDS.index(k), F.col("n"))), F.lit(0))
+    columns = traits.groupBy(*key).agg(
+        F.collect_list(F.when(real, F.col("b"))).alias("buckets"), F.collect_list(F.when(real, F.col("n"))).alias("counts"),  # at most BUCKETS each
+        seen("whole").alias("w"), seen("decimal").alias("d"), seen("clock").alias("c"), seen("yesno").alias("y"), F.sum(F.when(~real, F.col("n"))).alias("all"),
+    )
     share = 0.7
-    kinds = typed.groupBy(*key).agg(n("whole").alias("w"), n("decimal").alias("d"), n("clock").alias("c"), n("yesno").alias("y"), F.count("*").alias("all"))
     kind = (
         F.when(F.col("c") >= share * F.col("all"), "clock").when(F.col("y") >= share * F.col("all"), "yesno")
         .when(F.col("w") + F.col("d") >= share * F.col("all"), F.when(F.col("d") > 0.25 * (F.col("w") + F.col("d")), "decimal").otherwise("whole"))
         .otherwise("text")
     )
     fields = heads.select("series", "file_no", "file_name", F.explode(F.array_distinct("fields")).alias("field")).filter(F.length("field") > 0)
-    return fields.join(kinds.select(*key, kind.alias("kind")), key, "left").join(vectors, key, "left")
+    return fields.join(columns.select(*key, kind.alias("kind"), "buckets", "counts"), key, "left")
 
 
 # ---------------------------------------------------------------- tree edit distance
@@ -197,21 +211,23 @@ def edit_script(a: Node, b: Node, rename_cost: Callable[[Node, Node], float], pa
     n, m = len(olds), len(news)
     if not n + m:
         return 0.0, []
-    big = 1e9
-    cost, inner = np.full((n + m, n + m), big), {}
+    # not matched is as matched at the price of deleting one and adding the other, so the matrix need not hold both
+    k = max(n, m)
+    cost, inner = np.zeros((k, k)), {}
+    cost[:n, m:] = np.array([[x.size()] for x in olds]) if n > m else 0.0
+    cost[n:, :m] = np.array([[y.size() for y in news]]) if m > n else 0.0
+    apart = np.zeros((k, k), bool)
     for i, x in enumerate(olds):
         for j, y in enumerate(news):
             if x.children or y.children:
                 inner[i, j] = edit_script(x, y, rename_cost)
-            cost[i, j] = (0.0 if x.name == y.name else rename_cost(x, y)) + (inner[i, j][0] if (i, j) in inner else 0.0)
-        cost[i, m + i] = x.size()
-    for j, y in enumerate(news):
-        cost[n + j, j] = y.size()
-    cost[n:, m:] = 0.0
+            price = (0.0 if x.name == y.name else rename_cost(x, y)) + (inner[i, j][0] if (i, j) in inner else 0.0)
+            apart[i, j] = price >= x.size() + y.size()
+            cost[i, j] = min(price, x.size() + y.size())
     total, steps = 0.0, []
     for i, j in assign(cost):
         total += cost[i, j]
-        if i < n and j < m:
+        if i < n and j < m and not apart[i, j]:
             x, y = olds[i], news[j]
             if x.name != y.name:
                 steps.append(("renamed", path + x.name, path + y.name))
@@ -219,18 +235,49 @@ def edit_script(a: Node, b: Node, rename_cost: Callable[[Node, Node], float], pa
                 steps.append(("retyped", path + x.name, path + y.name))
             if (i, j) in inner:
                 steps += [(k, o and f"{path}{x.name}.{o}", w and f"{path}{y.name}.{w}") for k, o, w in inner[i, j][1]]
-        elif i < n:
+            continue
+        if i < n:
             steps.append(("removed", path + olds[i].name, ""))
-        elif j < m:
+        if j < m:
             steps.append(("added", "", path + news[j].name))
     return total, steps
 
 
+def _at(tree: Node, path: str) -> Node:
+    """The node under a dotted path; names may hold dots themselves."""
+    for c in tree.children:
+        if path == c.name:
+            return c
+        if path.startswith(c.name + ".") and (found := _at(c, path[len(c.name) + 1 :])) is not None:
+            return found
+    return None
+
+
+MOVE = 0.5  # price of a move, beside that of a new name
+
+
+def with_moves(a: Node, b: Node, steps: list[tuple[str, str, str]], rename_cost: Callable[[Node, Node], float]) -> list[tuple[str, str, str]]:
+    """``steps`` with a deletion under one parent and an addition under another as a move, where that is cheaper; the cheapest pairs of them."""
+    gone, new = [s for s in steps if s[0] == "removed"], [s for s in steps if s[0] == "added"]
+    if not gone or not new or not any("." in p for s in gone + new for p in s[1:]):
+        return steps  # all under one parent
+    k = max(len(gone), len(new))
+    price = np.full((k, k), 2.0)
+    for i, (_, old, _) in enumerate(gone):
+        for j, (_, _, now) in enumerate(new):
+            x, y = _at(a, old), _at(b, now)
+            if old.removesuffix(x.name) != now.removesuffix(y.name):
+                inner = edit_script(x, y, rename_cost)[0] if x.children or y.children else 0.0
+                price[i, j] = min(2.0, (MOVE + (0.0 if x.name == y.name else rename_cost(x, y)) + inner) * 2 / (x.size() + y.size()))
+    moved = [(gone[i], new[j]) for i, j in assign(price) if i < len(gone) and j < len(new) and price[i, j] < 2.0]
+    dropped = {s for pair in moved for s in pair}
+    return [s for s in steps if s not in dropped] + [("moved", g[1], w[2]) for g, w in moved]
+
+
 def cosine(x: np.ndarray | None, y: np.ndarray | None) -> float:
     if x is None or y is None:
         return 0.0
-    d = float(np.linalg.norm(x) * np.linalg.norm(y))
-    return float(x @ y) / d if d else 0.0
+    return float(x @ y)  # both have length 1
 
 
 def name_likeness(a: str, b: str) -> float:
@@ -274,7 +321,7 @@ def _vector(buckets, counts) -> np.ndarray | None:
 def field_changes(lines: DataFrame, cost: Callable[[Node, Node], float] = content_cost) -> DataFrame:
     """series, file_no, file_name, change_kind, old_field, new_field: each file against the one before it in its series."""
     heads = headers(lines)
-    cols = profiles(lines, heads)
+    cols = cut(profiles(lines, heads))  # read four times from here
     # a header's profile over all files, every file weighing the same
     flat = cols.filter(F.col("buckets").isNotNull()).select("field", F.explode(F.arrays_zip("buckets", "counts")).alias("p"), F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("t"))
     overall = flat.groupBy("field", F.col("p.buckets").alias("b")).agg(F.sum(F.col("p.counts") / F.col("t")).alias("n"))
@@ -301,6 +348,7 @@ def field_changes(lines: DataFrame, cost: Callable[[Node, Node], float] = conten
             for side in ("old", "new")
         }
         _, steps = edit_script(trees["old"], trees["new"], cost)
+        steps = with_moves(trees["old"], trees["new"], steps, cost)
         out = pd.DataFrame(steps, columns=["change_kind", "old_field", "new_field"])
         for c in ("series", "file_no", "file_name"):
             out.insert(0, c, pdf[c].iloc[0])

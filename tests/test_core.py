@@ -130,6 +130,17 @@ def test_tree_edit_of_nested_schemas():
     assert set(steps) == {("renamed", "person", "human"), ("retyped", "person.age", "human.age"), ("added", "", "human.home")}
 
 
+def test_moves_between_parents():
+    leaf = lambda n, k="text": drift.Node(n, k)
+    a = drift.Node("", children=[drift.Node("person", children=[leaf("name"), leaf("town")]), drift.Node("place", children=[leaf("size")])])
+    b = drift.Node("", children=[drift.Node("person", children=[leaf("name")]), drift.Node("place", children=[leaf("size"), leaf("town"), leaf("new")])])
+    cost = lambda p, q: 2.0
+    steps = drift.with_moves(a, b, drift.edit_script(a, b, cost)[1], cost)
+    assert sorted(steps) == [("added", "", "place.new"), ("moved", "person.town", "place.town")]
+    flat = drift.Node("", children=[leaf("x")]), drift.Node("", children=[leaf("y")])
+    assert sorted(drift.with_moves(*flat, drift.edit_script(*flat, cost)[1], cost)) == [("added", "", "y"), ("removed", "x", "")]
+
+
 def test_assignment_is_minimal():
     from itertools import permutations
 

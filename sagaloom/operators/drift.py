@@ -22,6 +22,9 @@ values keeps the kind it had; empty tables give empty results.
 from __future__ import annotations
 
 import csv
+import functools
+import itertools
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sagaloom.functions.names import fold, stripped
-from sagaloom.session import cut
+from sagaloom.session import cut, shuffle_partitions
 
 DELIMITERS = (",", ";", "\t", "|")
 BUCKETS = 256
@@ -280,10 +283,9 @@ def cosine(x: np.ndarray | None, y: np.ndarray | None) -> float:
     return float(x @ y)  # both have length 1
 
 
+@functools.lru_cache(maxsize=100_000)
 def name_likeness(a: str, b: str) -> float:
     """0 to 1: common word parts and common letter pairs of two headers."""
-    import re
-
     parts = [[p for p in re.split(r"[^0-9a-zäöüß]+", s.lower()) if p] for s in (a, b)]
     whole = ["".join(p) for p in parts]
     if not whole[0] or not whole[1]:
@@ -340,13 +342,10 @@ def field_changes(lines: DataFrame, cost: Callable[[Node, Node], float] = conten
     )
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        trees = {
-            side: Node("", children=[
-                Node(r.field, r.kind, _vector(r.buckets, r.counts), _vector(r.all_buckets, r.all_counts))
-                for r in pdf[pdf.side == side].sort_values("field").itertuples()
-            ])
-            for side in ("old", "new")
-        }
+        trees = {"old": Node(""), "new": Node("")}
+        columns = (pdf[c].tolist() for c in ("side", "field", "kind", "buckets", "counts", "all_buckets", "all_counts"))
+        for side, name, kind, *bags in sorted(zip(*columns, strict=True), key=lambda r: r[:2]):
+            trees[side].children.append(Node(name, kind, _vector(*bags[:2]), _vector(*bags[2:])))
         _, steps = edit_script(trees["old"], trees["new"], cost)
         steps = with_moves(trees["old"], trees["new"], steps, cost)
         out = pd.DataFrame(steps, columns=["change_kind", "old_field", "new_field"])
@@ -372,23 +371,28 @@ def with_kept_kinds(changes: DataFrame, kinds: DataFrame) -> DataFrame:
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         out, last, seen = [], {}, {}  # last: kind of each field so far; seen: its kind in the file before
-        for no, group in pdf.sort_values(["file_no", "new_field"]).groupby("file_no", sort=True):
-            steps = group[group.change_kind != ""]
-            source = dict(zip(steps[steps.change_kind == "renamed"].new_field, steps[steps.change_kind == "renamed"].old_field, strict=True))
-            fresh = set(steps[steps.change_kind == "added"].new_field)
-            out += list(steps[names].itertuples(index=False, name=None))
+        rows = sorted(pdf[[*names, "kind"]].itertuples(index=False, name=None), key=lambda r: (r[1], r[5]))
+        for no, group in itertools.groupby(rows, key=lambda r: r[1]):
+            group = list(group)
+            steps = [r for r in group if r[3]]
+            source = {r[5]: r[4] for r in steps if r[3] == "renamed"}
+            fresh = {r[5] for r in steps if r[3] == "added"}
+            out += [r[:6] for r in steps]
             kept, now = {}, {}
-            for r in group[group.change_kind == ""].itertuples():
-                before = None if r.new_field in fresh else source.get(r.new_field, r.new_field)
-                own, had = r.kind if isinstance(r.kind, str) else None, last.get(before)
+            for series, _, file_name, change, _, new_field, kind in group:
+                if change:
+                    continue
+                before = None if new_field in fresh else source.get(new_field, new_field)
+                own, had = kind if isinstance(kind, str) else None, last.get(before)
                 if own and had and own != had and seen.get(before) is None:
-                    out.append((r.series, no, r.file_name, "retyped", before, r.new_field))
-                kept[r.new_field], now[r.new_field] = own or had, own
+                    out.append((series, no, file_name, "retyped", before, new_field))
+                kept[new_field], now[new_field] = own or had, own
             last, seen = kept, now
         return pd.DataFrame(out, columns=names)
 
     names = changes.columns
-    return rows.groupBy("series").applyInPandas(walk, changes.schema)
+    # a number of partitions that is given is not merged by bytes
+    return rows.repartition(shuffle_partitions(rows.sparkSession), "series").groupBy("series").applyInPandas(walk, changes.schema)
 
 
 def projections(lines: DataFrame, changes: DataFrame) -> DataFrame:

@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Latin letters with a mark, and without.
+MARKED, PLAIN = "àáâãåçèéêëìíîïñòóôõùúûýÿčďěňřšťůžąćęłńśźż", "aaaaaceeeeiiiinoooouuuyycdenrstuzacelnszz"
+
+
 def stripped(c: Column) -> Column:
     """Without outer blanks of any kind; null stays null."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -74,6 +78,7 @@ def transliterated(c: Column) -> Column:
 
 
 def slug(c: Column) -> Column:
-    """ASCII id: transliterated, lower case, every run of other characters one underscore, none outside."""
-    plain = F.regexp_replace(F.lower(transliterated(c)), r"[^a-z0-9]+", "_")
-    return F.regexp_replace(plain, r"^_+|_+$", "")
+    """ASCII id: transliterated, marks of Latin letters dropped, lower case, every run of other characters one underscore, none outside; 'unnamed' if nothing is left."""
+    plain = F.regexp_replace(F.translate(F.lower(transliterated(c)), MARKED, PLAIN), r"[^a-z0-9]+", "_")
+    bare = F.regexp_replace(plain, r"^_+|_+$", "")
+    return F.when(bare == "", "unnamed").otherwise(bare)

@@ -43,10 +43,11 @@ def change_feed(before: DataFrame, after: DataFrame, key: str, payload: str) ->
 
 def dormant(rows: DataFrame, key: str, session: str, least: int) -> DataFrame:
     """Keys whose last session lies at least ``least`` sessions before the newest; sessions are numbered over the data."""
-    sessions = rows.select(session).distinct()
     counted = rows.groupBy(key).agg(F.max(session).alias("last_session"))
-    later = counted.select("last_session").distinct().join(sessions.select(F.col(session).alias("__s")), F.col("__s") > F.col("last_session")).groupBy("last_session").agg(F.count("*").alias("later_sessions"))
-    return counted.join(later, "last_session").filter(F.col("later_sessions") >= least).select(key, "last_session", "later_sessions")
+    # one row per session comes together; how many are later is a difference of numbers, not a join on order
+    after = rows.select(F.col(session).alias("last_session")).distinct().withColumn("later_sessions", F.row_number().over(Window.orderBy(F.desc("last_session"))) - 1)
+    late = after.filter(F.col("later_sessions") >= least).withColumn("later_sessions", F.col("later_sessions").cast("long"))
+    return counted.join(late, "last_session").select(key, "last_session", "later_sessions")
 
 
 def merged_intervals(rows: DataFrame, key: list[str], start: str, end: str) -> DataFrame:

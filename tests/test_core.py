@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from oracle import rows_of, rows_of_sql, views
 from sagaloom.functions.names import clock, media_seconds, slug, without_gloss
-from sagaloom.operators import drift, graphs, history, linking, orphans, temporal
+from sagaloom.operators import concepts, drift, graphs, history, linking, orphans, temporal
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -14,9 +14,9 @@ T = lambda d, h=0: datetime(2024, 1, d, h)
 
 def core_names():
     from sagaloom import queries
-    from sagaloom.plans import reference
+    from sagaloom.plans import concepts, reference
 
-    return sorted(queries.ORACLE | reference.ORACLE)
+    return sorted(queries.ORACLE | reference.ORACLE | concepts.ORACLE)
 
 
 @pytest.mark.parametrize("name", core_names())
@@ -181,3 +181,49 @@ def test_state_and_intervals(spark):
     assert sorted((r.lo, r.hi) for r in temporal.merged_intervals(w, ["k"], "lo", "hi").collect()) == [(0.0, 3.0), (5.0, 6.0)]
     edges = spark.createDataFrame([("a", "b"), ("b", "a"), ("a", "c")], "start_id string, end_id string")
     assert graphs.mirrored(edges).filter("was_mirrored").count() == 1
+
+
+def test_documents_round_trip(spark):
+    """Front matter and body make up the document again, whatever it is; nulls, empty texts and broken fences are defined."""
+    from sagaloom.functions import texts
+
+    whole = ["---\na: 1\n---\nText\n", "---\n---\n", "---\na: 1\nno end", "plain [x](/a/b.md) and [y](https://z/c.md)", "", None, "---\r\na\r\n---\r\nb", "x\n---\ny\n---\n"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(whole)], "doc_id int, text string").withColumns(
+        {"front": texts.front_matter(F.col("text")), "body": texts.body(F.col("text")), "has": texts.has_front_matter(F.col("text"))}
+    ).withColumn("again", texts.document(F.when(F.col("has"), F.col("front")), F.col("body"))).orderBy("doc_id").collect()
+    assert [r.again for r in rows] == whole
+    assert [r.front for r in rows] == ["a: 1\n", "", "", "", "", None, "", ""]
+    assert [r.body for r in rows][:2] == ["Text\n", ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(whole)], "doc_id int, text string")
+    assert [tuple(r) for r in concepts.link_table(docs, "doc_id", "text").collect()] == [(3, "x", "/a/b.md")]
+    assert concepts.link_table(docs.limit(0), "doc_id", "text").isEmpty()
+
+
+def test_rounded_times_and_slugs(spark):
+    from sagaloom.functions import texts
+
+    r = spark.range(1).select(*[texts.rendered_time(F.lit(x)).alias(n) for n, x in (("a", 0.5), ("b", 1.5), ("c", 3599.5), ("d", -1.0))], slug(F.lit("Éñ  ü!")).alias("e"), slug(F.lit("!?")).alias("f")).first()
+    assert tuple(r) == ("00:00:00", "00:00:02", "01:00:00", None, "en_ue", "unnamed")
+
+
+def test_thread_ledger(spark):
+    u = [(1, "t", "s1", "open"), (2, "t", "s2", "Resolved"), (3, "t", "s3", None), (4, "t", "s4", "resolved"), (5, "r", "s1", "resolved"), (6, "r", "s2", "open"), (7, "NEU", "s1", "open"), (8, None, "s1", "open"), (9, "q", "s1", " ")]
+    rows = spark.createDataFrame(u, "update_id int, thread_id string, session_id string, thread_status string")
+    got = {r.thread_id: tuple(r)[1:] for r in concepts.thread_ledger(rows).collect()}
+    assert got == {"t": ("s1", "s4", "resolved", "s2", 4), "r": ("s1", "s2", "open", None, 2), "q": ("s1", "s1", "open", None, 1)}
+    assert concepts.thread_ledger(rows.limit(0)).isEmpty()
+
+
+def test_pairs_are_counted_not_written(spark):
+    n = spark.createDataFrame([("a", "x")] * 3 + [("a", "y")] * 2 + [("b", "x")], "k string, kind string")
+    assert {r.check_name: r.n_pairs for r in concepts.pair_counts(n, "k", "kind").collect()} == {"same_kind": 4, "other_kind": 6}
+    assert {r.n_pairs for r in concepts.pair_counts(n.limit(0), "k", "kind").collect()} == {0}
+
+
+def test_guard_and_forbidden_pairs(spark):
+    ids = lambda r: spark.createDataFrame([(f"c{i}",) for i in r], "id string")
+    assert tuple(concepts.rename_guard(ids(range(20)), ids(range(1, 22)), "id").first()) == (20, 1, 2, True)
+    assert tuple(concepts.rename_guard(ids(range(19)), ids([]), "id").first()) == (19, 19, 0, False)
+    g = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "a"), (2, "c")], "g int, m string")
+    bad = spark.createDataFrame([("b", "a"), ("c", None)], "a string, b string")
+    assert sorted(map(tuple, concepts.without_forbidden(g, bad, "g", "m").collect())) == [(2, "a"), (2, "c")]

@@ -76,3 +76,19 @@ def strict_subsets(rows: DataFrame, group: str, identity: str, tokens: str) -> D
         .filter((F.size(F.array_except("__small", "__large")) == 0) & (F.size(F.array_distinct("__large")) > F.size(F.array_distinct("__small"))))
         .select(group, F.col(identity).alias("small"), "large")
     )
+
+
+def resolve_names(rows: DataFrame, steps: list[tuple[str, DataFrame, Column]], out: str) -> DataFrame:
+    """``rows`` with ``out`` and ``step``: the first lookup that knows a row's key decides.
+
+    A step is (name, DataFrame k and v, key of the rows). A key of several values is ambiguous: it gives null under the
+    step 'ambiguous' and later steps are not tried; a key nobody knows, or a null key, gives null under 'absent'.
+    """
+    found, names = [], []
+    for i, (name, lookup, key) in enumerate(steps):
+        one = unique_or_null(lookup.filter("k is not null and v is not null"), ["k"], "v").select(F.col("k").alias(f"__k{i}"), F.struct("v").alias(f"__f{i}"))
+        rows = rows.withColumn(f"__k{i}", key).join(one, f"__k{i}", "left")
+        found.append(F.col(f"__f{i}"))
+        names.append(F.when(F.col(f"__f{i}").isNotNull(), F.when(F.col(f"__f{i}.v").isNull(), "ambiguous").otherwise(name)))
+    decided = rows.withColumn(out, F.coalesce(*found)["v"]).withColumn("step", F.coalesce(*names, F.lit("absent")))
+    return decided.drop(*[f"__{c}{i}" for i in range(len(steps)) for c in "kf"])

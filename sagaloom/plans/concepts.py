@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sagaloom.functions import texts
-from sagaloom.functions.names import long_words
-from sagaloom.operators import concepts, graphs
+from sagaloom.functions.names import filled, fold, long_words, without_gloss
+from sagaloom.operators import concepts, graphs, linking
 from sagaloom.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,20 @@ def session_ordinals(spark, folder):  # F1 H1
     s = table(spark, folder, "segments", "session_id").filter("session_id is not null").distinct()
     up, down = Window.orderBy("session_id"), Window.orderBy(F.desc("session_id"))
     return s.select("session_id", F.row_number().over(up).alias("ordinal"), (F.row_number().over(down) <= 5).alias("is_recent"))
+
+
+@query("""WITH g AS (SELECT mention_id, lower(trim(mention_name)) AS a, nullif(trim(regexp_replace(lower(trim(mention_name)), '\\s*(\\([^()]*\\)|\\[[^\\[\\]]*\\])\\s*$', '')), '') AS b FROM mentions),
+ c AS (SELECT lower(trim(canonical_name)) AS k, CASE WHEN count(DISTINCT concept_id) = 1 THEN min(concept_id) END AS v FROM entities GROUP BY 1),
+ al AS (SELECT lower(trim(x)) AS k, CASE WHEN count(DISTINCT concept_id) = 1 THEN min(concept_id) END AS v FROM (SELECT concept_id, unnest(aliases) AS x FROM entities) WHERE trim(coalesce(x, '')) <> '' GROUP BY 1)
+SELECT mention_id, CASE WHEN c.k IS NOT NULL THEN c.v WHEN al.k IS NOT NULL THEN al.v WHEN c2.k IS NOT NULL THEN c2.v WHEN a2.k IS NOT NULL THEN a2.v END AS ref_id,
+ CASE WHEN c.k IS NOT NULL THEN CASE WHEN c.v IS NULL THEN 'ambiguous' ELSE 'canonical' END WHEN al.k IS NOT NULL THEN CASE WHEN al.v IS NULL THEN 'ambiguous' ELSE 'alias' END
+ WHEN c2.k IS NOT NULL THEN CASE WHEN c2.v IS NULL THEN 'ambiguous' ELSE 'canonical, no gloss' END WHEN a2.k IS NOT NULL THEN CASE WHEN a2.v IS NULL THEN 'ambiguous' ELSE 'alias, no gloss' END ELSE 'absent' END AS step
+FROM g LEFT JOIN c ON c.k = g.a LEFT JOIN al ON al.k = g.a LEFT JOIN c c2 ON c2.k = g.b LEFT JOIN al a2 ON a2.k = g.b""")
+def name_index_resolve(spark, folder):  # of D17 and D18 the exact and the gloss steps, ambiguity as null; no slug, basename, compact or prefix step
+    e = table(spark, folder, "entities", "concept_id", "canonical_name", "aliases")
+    canon = e.select(fold(F.col("canonical_name")).alias("k"), F.col("concept_id").alias("v"))
+    alias = e.select("concept_id", F.explode("aliases").alias("x")).filter(filled(F.col("x"))).select(fold(F.col("x")).alias("k"), F.col("concept_id").alias("v"))
+    whole = fold(F.col("mention_name"))
+    bare = F.nullif(without_gloss(whole), F.lit(""))
+    steps = [("canonical", canon, whole), ("alias", alias, whole), ("canonical, no gloss", canon, bare), ("alias, no gloss", alias, bare)]
+    return linking.resolve_names(table(spark, folder, "mentions", "mention_id", "mention_name"), steps, "ref_id").select("mention_id", "ref_id", "step")

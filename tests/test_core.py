@@ -227,3 +227,11 @@ def test_guard_and_forbidden_pairs(spark):
     g = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "a"), (2, "c")], "g int, m string")
     bad = spark.createDataFrame([("b", "a"), ("c", None)], "a string, b string")
     assert sorted(map(tuple, concepts.without_forbidden(g, bad, "g", "m").collect())) == [(2, "a"), (2, "c")]
+
+
+def test_ambiguous_is_not_absent(spark):
+    first = spark.createDataFrame([("a", "1"), ("b", "1"), ("b", "2"), (None, "3")], "k string, v string")
+    second = spark.createDataFrame([("b", "9"), ("c", "9"), ("c", "9")], "k string, v string")
+    rows = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), (None,)], "n string")
+    got = [tuple(r) for r in linking.resolve_names(rows, [("x", first, F.col("n")), ("y", second, F.col("n"))], "ref").orderBy(F.col("n").asc_nulls_last()).select("n", "ref", "step").collect()]
+    assert got == [("a", "1", "x"), ("b", None, "ambiguous"), ("c", "9", "y"), ("d", None, "absent"), (None, None, "absent")]

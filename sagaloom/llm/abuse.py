@@ -358,7 +358,7 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     passages = F.filter("segments", lambda x: chance(x["score"]) <= most)
     return raw.withColumn("passages", passages).select(
         "doc_id", F.coalesce("source", F.lit("")).alias("source"), "n_words", F.round("best_score", 6).alias("best_score"), F.round(chance(F.col("best_score")), 12).alias("chance"),
-        F.size("passages").alias("n_passages"), F.coalesce(F.col("segments")[0]["words"], F.lit("")).alias("passage"), "passages", (F.size("passages") > 0).alias("abusive"),
+        F.size("passages").alias("n_passages"), F.coalesce(F.get("segments", F.lit(0))["words"], F.lit("")).alias("passage"), "passages", (F.size("passages") > 0).alias("abusive"),
     )
 
 

@@ -294,6 +294,9 @@ def test_abuse_on_held_out(spark):
     assert len(found & want) >= 0.95 * len(want)
     assert sum(1 for i in found if i >= 600 and i not in want) <= 1
     assert scores.count() == len(docs) and abuse.source_rates(scores).count() == 2
+    whole = {r.doc_id: r for r in scores.collect()}
+    assert all((r.n_words, r.best_score, r.passage, r.passages, r.abusive) == (0, 0.0, "", [], False) for r in (whole[1000], whole[1001]))
+    assert all(r.passages[0].words == r.passage and r.n_passages == len(r.passages) for r in whole.values() if r.abusive)
 
 
 def test_no_import_from_core():

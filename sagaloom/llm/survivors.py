@@ -82,7 +82,42 @@ def precedences(rows: DataFrame) -> DataFrame:
     return steps.join(back, ["field_name", "earlier", "later"], "left").filter("n > coalesce(m, 0)").select("field_name", "earlier", "later")
 
 
-MAX_DEPTH = 12  # steps of the partial order that are told apart; values on a cycle all reach it
+CYCLE_PLACE = 12  # the first place of values on a cycle, where the walk of the SQL has them; other places have no bound
+
+
+def lateness(steps: list[tuple[str, str]]) -> dict[str, int]:
+    """The place of every value: later than all values before it, but for those on a cycle with it.
+
+    Without a cycle that is the longest walk that ends in the value. Values on one cycle share a place.
+    """
+    after: dict[str, list[str]] = {v: [] for step in steps for v in step}
+    before: dict[str, list[str]] = {v: [] for v in after}
+    for a, b in steps:
+        after[a].append(b)
+        before[b].append(a)
+    left, seen = [], set()  # depth first; of two values not on a cycle the earlier is left last
+    for start in after:
+        path = [] if start in seen else [(start, iter(after[start]))]
+        seen.add(start)
+        while path:
+            v = next((x for x in path[-1][1] if x not in seen), None)
+            if v is None:
+                left.append(path.pop()[0])
+            else:
+                seen.add(v)
+                path.append((v, iter(after[v])))
+    depth: dict[str, int] = {}
+    for v in reversed(left):
+        if v in depth:
+            continue
+        ring, todo = {v}, [v]  # the values on a cycle with v
+        while todo:
+            more = {x for x in before[todo.pop()] if x not in depth} - ring
+            ring |= more
+            todo += more
+        place = max((depth[x] + 1 for y in ring for x in before[y] if x not in ring), default=0)
+        depth |= dict.fromkeys(ring, max(place, CYCLE_PLACE) if len(ring) > 1 else place)
+    return depth
 
 
 def currency(values: DataFrame, learned: DataFrame) -> DataFrame:
@@ -94,15 +129,7 @@ def currency(values: DataFrame, learned: DataFrame) -> DataFrame:
     edges = out.join(values.withColumnRenamed("value", "later"), ["group_id", "field_name", "later"], "left_semi")
 
     def depths(pdf: pd.DataFrame) -> pd.DataFrame:
-        steps = list(zip(pdf.earlier, pdf.later, strict=True))
-        depth = dict.fromkeys(sorted({*pdf.earlier, *pdf.later}), 0)
-        for _ in range(MAX_DEPTH):  # the longest walk that ends in a value
-            now = dict(depth)
-            for a, b in steps:
-                now[b] = max(now[b], min(depth[a] + 1, MAX_DEPTH))
-            if now == depth:
-                break
-            depth = now
+        depth = lateness(list(zip(pdf.earlier, pdf.later, strict=True)))
         return pd.DataFrame({"group_id": pdf.group_id.iloc[0], "field_name": pdf.field_name.iloc[0], "value": list(depth), "depth": list(depth.values())})
 
     return edges.groupBy("group_id", "field_name").applyInPandas(depths, "group_id long, field_name string, value string, depth int")

@@ -217,6 +217,45 @@ def test_survivors_with_currency(spark):
     assert got == {(7, "canonical"): "b", (7, "title"): "b", (7, "subtype"): "b", (7, "description"): "a", (7, "home"): "b", (2, "canonical"): "c", (2, "title"): "d", (2, "subtype"): "c", (2, "description"): "c"}
 
 
+def test_currency_follows_long_orders(spark):
+    """Of 16 values in one learned chain the last is the latest, though an earlier one beyond 12 steps is mentioned more."""
+    record = "concept_id string, title string, subtype string, description string, home string, resource_url string, quality string, mention_count int, updated_at timestamp_ntz"
+    row = lambda c, i, n, t: (c, f"v{i:02}", None, None, None, None, "hoch", n, t)
+    rows = [row(f"{side}{i:02}", i + side, 1, datetime(2024, 1, 1 + side)) for i in range(15) for side in (0, 1)]
+    rows += [row(f"m{i:02}", i, 9 if i == 12 else 1, None) for i in range(16)]
+    groups = [(i, [f"0{i:02}", f"1{i:02}"], None) for i in range(15)] + [(99, [f"m{i:02}" for i in range(16)], None)]
+    r, g = spark.createDataFrame(rows, record), spark.createDataFrame(groups, "group_id long, concept_ids array<string>, confidence string")
+    assert [tuple(x) for x in survivors.latest_values(g, r).collect()] == [(99, "title", "m15", "v15", 15)]
+    got = {x.field_name: x.concept_id for x in survivors.survivors(g, r).filter("group_id = 99").collect()}
+    assert got == {"canonical": "m12", "title": "m15"}
+
+
+@given(st.lists(st.tuples(st.integers(0, 20), st.integers(0, 20)).filter(lambda s: s[0] != s[1]), max_size=40, unique=True))
+@settings(max_examples=300, deadline=None)
+def test_lateness_keeps_every_precedence(pairs):
+    """Each value is later than all before it, values on one cycle are equal, and up to 12 steps the walk of the SQL agrees."""
+    steps = [(f"v{a}", f"v{b}") for a, b in pairs]
+    depth = survivors.lateness(steps)
+    reach = {(a, b) for a, b in steps}
+    for k in depth:
+        reach |= {(a, b) for a in depth for b in depth if (a, k) in reach and (k, b) in reach}
+    assert all(depth[a] < depth[b] or (depth[a] == depth[b] and (b, a) in reach) for a, b in reach)
+    ends = {a for a, _ in steps}
+    walk = dict.fromkeys(ends, 0)
+    for n in range(1, 13):
+        ends = {b for a, b in steps if a in ends}
+        walk |= dict.fromkeys(ends, n)
+    assert walk == {v: min(d, 12) for v, d in depth.items()}
+
+
+def test_lateness_of_a_very_long_order():
+    n = 20000
+    depth = survivors.lateness([(f"v{i}", f"v{i + 1}") for i in reversed(range(n))])
+    assert depth == {f"v{i}": i for i in range(n + 1)}
+    ring = survivors.lateness([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("x", "e")])
+    assert ring == {"a": 12, "b": 12, "c": 12, "d": 13, "e": 14, "x": 0}
+
+
 @given(st.lists(st.integers(0, 64), max_size=120))
 @settings(max_examples=60, deadline=None)
 def test_packing_is_whole(sizes):
